@@ -17,15 +17,17 @@ from tripweave.session import shared_folder
 from tripweave.sinks import write_parquet
 from tripweave.sources import read_parquet
 
-_SEED = 7
+SEED = 7
 
 
-def _labelled_city(spark, sf_dir):
-    return op.label_from_count(plans.city_hour_panel(views.joined(spark, sf_dir)))
+def labelled_city(spark, sf_dir):
+    """City panel with a label; hours without any weather reading cannot be model input."""
+    panel = plans.city_hour_panel(views.joined(spark, sf_dir))
+    return op.label_from_count(panel).na.drop("any")
 
 
 def _labelled_stations(spark, sf_dir):
-    return op.label_from_count(views.dense_panel(spark, sf_dir))
+    return op.label_from_count(views.dense_panel(spark, sf_dir)).na.drop("any")
 
 
 def stored(rows, purpose: str):
@@ -35,28 +37,30 @@ def stored(rows, purpose: str):
     return read_parquet(rows.sparkSession, path)
 
 
-_SPLIT_KEY = (F.col("dayofyear") * 24 + F.col("hour")) * 7919 % 10 < 7
+def in_training_part():
+    """Seven of ten hours of the year, by arithmetic that SQL can repeat."""
+    return (F.col("dayofyear") * 24 + F.col("hour")) * 7919 % 10 < 7
 
 
 @query("""
     select hour, dayofyear, cast(count as double) as label,
            case when (dayofyear * 24 + hour) * 7919 % 10 < 7 then 'train' else 'test' end as part
-    from hours""", "hours")
+    from hours where air_temp is not null""", "hours")
 def ml_split(spark, sf_dir):
-    panel = _labelled_city(spark, sf_dir).select("hour", "dayofyear", "label")
-    train, test = ml.split.split_where(panel, _SPLIT_KEY)
+    panel = labelled_city(spark, sf_dir).select("hour", "dayofyear", "label")
+    train, test = ml.split_where(panel, in_training_part())
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
 _INDEX_SQL = """
     select station, row_number() over (order by count(*) desc, station) - 1 as station_index,
            count(*) over () as stations
-    from observed group by station"""
+    from observed where air_temp is not null group by station"""
 
 
 def _indexed_stations(spark, sf_dir):
     """Observed cells with station and class indices and the station vector."""
-    observed = views.observed_panel(spark, sf_dir)
+    observed = views.observed_panel(spark, sf_dir).na.drop("any")
     index, one_hot, assemble = ml.station_stages()
     return observed, Pipeline(stages=[index, one_hot]), assemble
 
@@ -85,9 +89,10 @@ def ml_one_hot(spark, sf_dir):
 @query("""
     select hour, dayofyear, cast(hour as double) as f0, cast(dayofyear as double) as f1,
            cast(month as double) as f2, round(air_temp, 6) as f3, round(wind_speed, 6) as f4,
-           round(visibility, 6) as f5, """ + code_case("weather_class") + """ as f6 from hours""", "hours")
+           round(visibility, 6) as f5, """ + code_case("weather_class") + """ as f6
+    from hours where air_temp is not null""", "hours")
 def ml_features_city(spark, sf_dir):
-    assembled = ml.assemble_city(_labelled_city(spark, sf_dir))
+    assembled = ml.assemble_city(labelled_city(spark, sf_dir))
     values = vector_to_array("features")
     return assembled.select(
         "hour", "dayofyear",
@@ -97,7 +102,7 @@ def ml_features_city(spark, sf_dir):
 @query(f"""
     with_index as (select * from ({_INDEX_SQL})),
     class_index as (select weather_class, row_number() over (order by count(*) desc, weather_class) - 1
-                    as weather_index from observed group by weather_class)
+                    as weather_index from observed where air_temp is not null group by weather_class)
     select o.hour, o.dayofyear, o.station, cast(7 + i.stations as int) as vector_size,
            round(o.hour + o.dayofyear + o.month + o.air_temp + o.wind_speed + o.visibility, 4) as numeric_sum,
            cast(c.weather_index as double) as weather_index, cast(i.station_index as int) as station_at
@@ -120,20 +125,20 @@ def ml_features_station(spark, sf_dir):
     select count(*) as n, round(1 - sum((y - p) * (y - p)) / sum((y - m) * (y - m)), 6) as r2,
            round(sqrt(avg((y - p) * (y - p))), 6) as rmse
     from (select cast(count as double) as y, 10e0 + 0.5e0 * hour as p,
-                 avg(cast(count as double)) over () as m from hours)""", "hours")
+                 avg(cast(count as double)) over () as m from hours where air_temp is not null)""", "hours")
 def ml_metrics(spark, sf_dir):
-    predicted = _labelled_city(spark, sf_dir).withColumn("prediction", 10.0 + 0.5 * F.col("hour"))
+    predicted = labelled_city(spark, sf_dir).withColumn("prediction", 10.0 + 0.5 * F.col("hour"))
     return rounded(ml.regression_metrics(predicted), "r2", "rmse")
 
 
 def _city_parts(spark, sf_dir):
-    return ml.split.split_where(stored(_labelled_city(spark, sf_dir), "city-panel"), _SPLIT_KEY)
+    return ml.split_where(stored(labelled_city(spark, sf_dir), "city-panel"), in_training_part())
 
 
 @query()
 def ml_train_city(spark, sf_dir):
     train, _ = _city_parts(spark, sf_dir)
-    model = ml.fit_city_model(train, seed=_SEED)
+    model = ml.fit_city_model(train, seed=SEED)
     return rounded(ml.regression_metrics(ml.score(model, train)), "r2", "rmse")
 
 
@@ -141,15 +146,15 @@ def ml_train_city(spark, sf_dir):
 def ml_score(spark, sf_dir):
     train, test = _city_parts(spark, sf_dir)
     path = shared_folder(spark, "city-model")
-    ml.save_model(ml.fit_city_model(train, seed=_SEED), path)
+    ml.save_model(ml.fit_city_model(train, seed=SEED), path)
     scored = ml.score(ml.load_model(path), test)
     return rounded(scored.select("hour", "dayofyear", "label", "prediction"), "prediction")
 
 
 def _station_model(spark, sf_dir):
     panel = stored(_labelled_stations(spark, sf_dir), "station-panel")
-    train, test = ml.hash_split(panel, "hour", "dayofyear", "station", seed=_SEED)
-    return ml.fit_station_model(train, seed=_SEED), train, test
+    train, test = ml.hash_split(panel, "hour", "dayofyear", "station", seed=SEED)
+    return ml.fit_station_model(train, seed=SEED), train, test
 
 
 @query()
@@ -157,7 +162,7 @@ def ml_train_station(spark, sf_dir):
     model, train, test = _station_model(spark, sf_dir)
     parts = {"train": train, "test": test}
     metrics = [
-        ml.regression_metrics(ml.score(model, rows.na.drop("any"))).withColumn("part", F.lit(part))
+        ml.regression_metrics(ml.score(model, rows)).withColumn("part", F.lit(part))
         for part, rows in parts.items()]
     return rounded(metrics[0].unionByName(metrics[1]), "r2", "rmse")
 

@@ -9,10 +9,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructType
 
 from checks import views
 from checks.batch import query, rounded
-from checks.models import _labelled_city, _SEED, _SPLIT_KEY, stored
+from checks.models import SEED, in_training_part, labelled_city, stored
 from tripweave import ml
 from tripweave.fixed_values import STREAM_CATEGORY_ATTRIBUTES, STREAM_NUMERIC_ATTRIBUTES
 from tripweave.operators import message_box
@@ -58,7 +59,7 @@ def _joined_arrivals(spark, sf_dir) -> DataFrame:
     select event_id, start_station_id, abs_distance from joined where {_KEPT_SQL}""", "joined")
 def stream_filter(spark, sf_dir):
     output = shared_folder(spark, "filtered")
-    schema = TRIP_MESSAGE.__class__(TRIP_MESSAGE.fields).add("event_id", "bigint")
+    schema = StructType(list(TRIP_MESSAGE.fields)).add("event_id", LongType())
 
     def start(messages, checkpoint):
         kept = decode_messages(messages, schema).where(message_box())
@@ -114,9 +115,9 @@ def stream_categorical_summary(spark, sf_dir):
 
 @query()
 def stream_score(spark, sf_dir):
-    panel = stored(_labelled_city(spark, sf_dir), "city-panel")
-    train, test = ml.split.split_where(panel, _SPLIT_KEY)
-    model = ml.fit_city_model(train, seed=_SEED)
+    panel = stored(labelled_city(spark, sf_dir), "city-panel")
+    train, test = ml.split_where(panel, in_training_part())
+    model = ml.fit_city_model(train, seed=SEED)
     predictions, metrics = shared_folder(spark, "predictions"), shared_folder(spark, "metrics")
     day = F.col("dayofyear")
     arrivals = test.withColumn("arrival", F.when(day <= 10, 0).when(day <= 20, 1).otherwise(2))

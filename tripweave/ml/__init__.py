@@ -5,10 +5,10 @@ from tripweave.ml.models import (
     fit_city_model, fit_station_model, load_model, regression_metrics, save_model, score,
     score_scenarios,
 )
-from tripweave.ml.split import hash_split, random_split
+from tripweave.ml.split import hash_split, random_split, split_where
 
 __all__ = [
     "ModelColumns", "assemble_city", "city_stages", "fit_city_model", "fit_station_model",
     "hash_split", "load_model", "random_split", "regression_metrics", "save_model", "score",
-    "score_scenarios", "station_stages",
+    "score_scenarios", "split_where", "station_stages",
 ]

@@ -30,9 +30,11 @@ def fit_city_model(
     train: DataFrame, rounds: int = BOOSTING_ROUNDS, seed: int = 0,
     columns: ModelColumns = ModelColumns(),
 ) -> PipelineModel:
-    """Model of trips per hour over a city panel with a numeric weather class and a label."""
+    """Model of trips per hour over a city panel with a numeric weather class and a label;
+    rows with any null are left out of training.
+    """
     numeric = train.withColumn("weather_class", F.col("weather_class").try_cast("double"))
-    return _fit(city_stages(columns), numeric, columns, rounds, seed)
+    return _fit(city_stages(columns), numeric.na.drop("any"), columns, rounds, seed)
 
 
 def fit_station_model(
