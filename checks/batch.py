@@ -571,9 +571,8 @@ _DENSE_SQL = f"select hour, dayofyear, month, station, count, {_round_sql(*_PANE
 @query(f"""
     select hour, dayofyear, month, station, {_round_sql(*_PANEL_MEANS)}, weather_class from filler""", "filler")
 def explode_keys(spark, sf_dir):
-    joined = views.joined(spark, sf_dir)
-    names = joined.select(F.col("start_station_id").alias("station")).distinct()
-    return rounded(op.all_combinations(plans.hour_panel(joined), names), *_PANEL_MEANS)
+    observed, hours = plans.observed_cells_and_hours(views.joined(spark, sf_dir))
+    return rounded(op.all_combinations(hours, observed.select("station").distinct()), *_PANEL_MEANS)
 
 
 @query(_DENSE_SQL, "dense")
@@ -583,9 +582,7 @@ def densify_panel(spark, sf_dir):
 
 @query(_DENSE_SQL, "dense")
 def dedupe_keep_max(spark, sf_dir):
-    joined = views.joined(spark, sf_dir)
-    observed = plans.station_hour_panel(joined).withColumnRenamed("start_station_id", "station")
-    hours = plans.hour_panel(joined)
+    observed, hours = plans.observed_cells_and_hours(views.joined(spark, sf_dir))
     filler = op.all_combinations(hours, observed.select("station").distinct())
     filler = filler.withColumn("count", F.lit(0).cast("bigint")).withColumn("is_observed", F.lit(0))
     both = observed.withColumn("is_observed", F.lit(1)).select(*filler.columns).unionByName(filler)

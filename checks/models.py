@@ -14,8 +14,7 @@ from tripweave import operators as op
 from tripweave import plans
 from tripweave.fixed_values import CITY_FEATURES, STATION_NUMERIC_FEATURES
 from tripweave.session import shared_folder
-from tripweave.sinks import write_parquet
-from tripweave.sources import read_parquet
+from tripweave.sinks import store
 
 SEED = 7
 
@@ -30,13 +29,6 @@ def _labelled_stations(spark, sf_dir):
     return op.label_from_count(views.dense_panel(spark, sf_dir)).na.drop("any")
 
 
-def stored(rows, purpose: str):
-    """The rows as a table in the shared folder, so that iterative fits do not recompute them."""
-    path = shared_folder(rows.sparkSession, purpose)
-    write_parquet(rows, path)
-    return read_parquet(rows.sparkSession, path)
-
-
 def in_training_part():
     """Seven of ten hours of the year, by arithmetic that SQL can repeat."""
     return (F.col("dayofyear") * 24 + F.col("hour")) * 7919 % 10 < 7
@@ -132,7 +124,7 @@ def ml_metrics(spark, sf_dir):
 
 
 def _city_parts(spark, sf_dir):
-    return ml.split_where(stored(labelled_city(spark, sf_dir), "city-panel"), in_training_part())
+    return ml.split_where(store(labelled_city(spark, sf_dir), "city-panel"), in_training_part())
 
 
 @query()
@@ -152,7 +144,7 @@ def ml_score(spark, sf_dir):
 
 
 def _station_model(spark, sf_dir):
-    panel = stored(_labelled_stations(spark, sf_dir), "station-panel")
+    panel = store(_labelled_stations(spark, sf_dir), "station-panel")
     train, test = ml.hash_split(panel, "hour", "dayofyear", "station", seed=SEED)
     return ml.fit_station_model(train, seed=SEED), train, test
 

@@ -13,13 +13,13 @@ from pyspark.sql.types import LongType, StructType
 
 from checks import views
 from checks.batch import query, rounded
-from checks.models import SEED, in_training_part, labelled_city, stored
+from checks.models import SEED, in_training_part, labelled_city
 from tripweave import ml
 from tripweave.fixed_values import STREAM_CATEGORY_ATTRIBUTES, STREAM_NUMERIC_ATTRIBUTES
 from tripweave.operators import message_box
 from tripweave.schemas import TRIP_MESSAGE
 from tripweave.session import shared_folder
-from tripweave.sinks import json_messages, write_batch, write_message_files, write_parquet
+from tripweave.sinks import json_messages, store, write_batch, write_message_files, write_parquet
 from tripweave.streaming import (
     decode_messages, run_batches, start_scoring, start_summaries, text_stream, wait,
 )
@@ -115,7 +115,7 @@ def stream_categorical_summary(spark, sf_dir):
 
 @query()
 def stream_score(spark, sf_dir):
-    panel = stored(labelled_city(spark, sf_dir), "city-panel")
+    panel = store(labelled_city(spark, sf_dir), "city-panel")
     train, test = ml.split_where(panel, in_training_part())
     model = ml.fit_city_model(train, seed=SEED)
     predictions, metrics = shared_folder(spark, "predictions"), shared_folder(spark, "metrics")

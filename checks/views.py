@@ -6,7 +6,7 @@ query needs (and those they build on) in front of it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.fixed_values import (
@@ -15,7 +15,7 @@ from tripweave.fixed_values import (
 )
 from tripweave.functions import celsius, weather_class
 from tripweave.operators import used_ids
-from tripweave.plans import densify, enrich_trips, hour_panel, joined_trips, station_hour_panel
+from tripweave.plans import dense_station_panel, enrich_trips, joined_trips, station_hour_panel
 from tripweave.plans.reconcile import used_stations
 from tripweave.session import apply_defaults
 
@@ -27,88 +27,76 @@ SUMMARIES = (
 
 # ---------------------------------------------------------------- Spark
 
+# Columns used here; with a declared schema planning reads no file footer.
+_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "nation": "n_nationkey int, n_name string",
+    "supplier": "s_suppkey bigint, s_name string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     apply_defaults(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def plain_times(rows: DataFrame) -> DataFrame:
     """Timestamps without zone, as the SQL side has them."""
     zoned = [name for name, kind in rows.dtypes if kind == "timestamp"]
+    if not zoned:
+        return rows
     return rows.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned})
 
 
-def _text(value: Column) -> Column:
-    return value.cast("string")
-
-
-def _station_no(number: Column) -> Column:
-    return _text(number % 27 + 31000)
-
-
-def _summary(event_id: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, SUMMARIES)), (event_id % 12 + 1).cast("int"))
+_SUMMARY_TEXT = "element_at(array(" + ", ".join(
+    "null" if s is None else f"'{s}'" for s in SUMMARIES) + "), cast(event_id % 12 + 1 as int))"
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("n_nationkey")
-    return table(spark, sf_dir, "nation").select(
-        _text(key).alias("id"),
-        F.col("n_name").alias("name"),
-        _text(key + 31000).alias("terminalName"),
-        (F.lit(38.0) + (key * 37 % 250) / 100).alias("lat"),
-        (F.lit(-78.0) + (key * 53 % 250) / 100).alias("long"),
-        (key % 20).alias("nbBikes"),
-        (20 - key % 20).alias("nbEmptyDocks"),
+    return table(spark, sf_dir, "nation").selectExpr(
+        "string(n_nationkey) as id", "n_name as name", "string(31000 + n_nationkey) as terminalName",
+        "38e0 + n_nationkey * 37 % 250 / 100e0 as lat", "-78e0 + n_nationkey * 53 % 250 / 100e0 as long",
+        "n_nationkey % 20 as nbBikes", "20 - n_nationkey % 20 as nbEmptyDocks",
     )
 
 
 def raw_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    hundredths = F.lpad(_text(key * 37 % 100), 2, "0")
-    return table(spark, sf_dir, "supplier").select(
-        _text(key).alias("id"),
-        F.col("s_name").alias("name"),
-        _text(key + 31000).alias("terminalName"),
-        F.when(key % 13 == 7, "n/a").otherwise(F.concat(_text(37 + key % 4), F.lit("."), hundredths)).alias("lat"),
-        F.concat(F.lit("-"), _text(75 + key % 5), F.lit("."), hundredths).alias("long"),
-        F.concat(_text(key % 20), F.when(key % 7 == 0, ".5").otherwise("")).alias("nbBikes"),
-        F.when(key % 11 == 3, "").otherwise(_text(20 - key % 20)).alias("nbEmptyDocks"),
+    hundredths = "lpad(string(s_suppkey * 37 % 100), 2, '0')"
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "string(s_suppkey) as id", "s_name as name", "string(31000 + s_suppkey) as terminalName",
+        f"if(s_suppkey % 13 = 7, 'n/a', 37 + s_suppkey % 4 || '.' || {hundredths}) as lat",
+        f"'-' || (75 + s_suppkey % 5) || '.' || {hundredths} as long",
+        "s_suppkey % 20 || if(s_suppkey % 7 = 0, '.5', '') as nbBikes",
+        "if(s_suppkey % 11 = 3, '', string(20 - s_suppkey % 20)) as nbEmptyDocks",
     )
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    duration = F.floor(F.col("value") * 10).cast("int")
-    start = F.date_trunc("second", "ts")
-    start_no, end_no = _station_no(F.col("user_id")), _station_no(F.col("event_id"))
-    return table(spark, sf_dir, "events").select(
-        "event_id",
-        duration.alias("duration"),
-        start.alias("start_date"),
-        (start + F.make_dt_interval(secs=duration.cast("decimal(18,6)"))).alias("end_date"),
-        start_no.alias("start_station_id"),
-        F.concat(F.lit("Station "), start_no).alias("start_station_name"),
-        end_no.alias("end_station_id"),
-        F.concat(F.lit("Station "), end_no).alias("end_station_name"),
-        F.concat(F.lit("W"), _text(F.col("user_id"))).alias("bike_number"),
-        F.when(F.col("event_type").isin("signup", "purchase"), "Member").otherwise("Casual").alias("member_type"),
+    seconds = "cast(floor(value * 10) as int)"
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id", f"{seconds} as duration",
+        "date_trunc('second', ts) as start_date",
+        f"date_trunc('second', ts) + make_dt_interval(0, 0, 0, {seconds}) as end_date",
+        "string(31000 + user_id % 27) as start_station_id",
+        "'Station ' || (31000 + user_id % 27) as start_station_name",
+        "string(31000 + event_id % 27) as end_station_id",
+        "'Station ' || (31000 + event_id % 27) as end_station_name",
+        "'W' || user_id as bike_number",
+        "if(event_type in ('signup', 'purchase'), 'Member', 'Casual') as member_type",
     )
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("event_id")
-    pattern = "yyyy-MM-dd HH:mm:ss"
-    return trips(spark, sf_dir).select(
+    return trips(spark, sf_dir).selectExpr(
         "event_id",
-        F.when(key % 97 == 0, "bad").otherwise(_text(F.col("duration"))).alias("Duration"),
-        F.when(key % 89 == 0, "13/45/2024 01:00").otherwise(F.date_format("start_date", pattern)).alias("Start date"),
-        F.date_format("end_date", pattern).alias("End date"),
-        F.when(key % 101 == 0, "00000").when(key % 103 == 0, "32031").otherwise(F.col("start_station_id")).alias("Start station number"),
-        F.col("start_station_name").alias("Start station"),
-        F.when(key % 107 == 0, "31008").otherwise(F.col("end_station_id")).alias("End station number"),
-        F.col("end_station_name").alias("End station"),
-        F.col("bike_number").alias("Bike number"),
-        F.col("member_type").alias("Member type"),
+        "if(event_id % 97 = 0, 'bad', string(duration)) as Duration",
+        "if(event_id % 89 = 0, '13/45/2024 01:00', string(start_date)) as `Start date`",
+        "string(end_date) as `End date`",
+        """case when event_id % 101 = 0 then '00000' when event_id % 103 = 0 then '32031'
+           else start_station_id end as `Start station number`""",
+        "start_station_name as `Start station`",
+        "if(event_id % 107 = 0, '31008', end_station_id) as `End station number`",
+        "end_station_name as `End station`", "bike_number as `Bike number`", "member_type as `Member type`",
     )
 
 
@@ -117,31 +105,29 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = table(spark, sf_dir, "events").groupBy(F.date_trunc("hour", "ts")).agg(
         F.max(F.struct("event_id", "ts", "value")).alias("last"),
     ).select("last.*")
-    key = F.col("event_id")
-    summary = _summary(key)
-    return last.select(
-        F.date_trunc("minute", "ts").alias("date_time"),
-        celsius(F.floor("value").cast("double")).alias("air_temp"),
-        (key * 3 % 40).cast("double").alias("wind_speed"),
-        (key % 11).cast("double").alias("visibility"),
-        summary.alias("weather_summary"),
-        F.upper(summary).alias("weather_condition"),
-        weather_class(summary).alias("weather_class"),
+    readings = last.selectExpr(
+        "date_trunc('minute', ts) as date_time", "double(floor(value)) as fahrenheit",
+        "double(event_id * 3 % 40) as wind_speed", "double(event_id % 11) as visibility",
+        f"{_SUMMARY_TEXT} as weather_summary",
+    )
+    return readings.select(
+        "date_time", celsius(F.col("fahrenheit")).alias("air_temp"), "wind_speed", "visibility",
+        "weather_summary", F.upper("weather_summary").alias("weather_condition"),
+        weather_class(F.col("weather_summary")).alias("weather_class"),
     )
 
 
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, summary = F.col("event_id"), _summary(F.col("event_id"))
-    time = F.concat(F.date_format("ts", "MM/dd/yyyy HH:mm"), F.lit(" UTC"))
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").selectExpr(
         "event_id",
-        F.when(key % 83 != 0, "ST1").alias("Station_ID"),
-        F.when(key % 53 == 0, "13/45/2024 01:00").otherwise(time).alias("Date_Time"),
-        F.when(key % 5 != 0, _text(F.floor("value"))).alias("air_temp_set_1"),
-        F.when(key % 41 == 0, "calm").otherwise(_text(key * 3 % 40)).alias("wind_speed_set_1"),
-        F.when(key % 3 != 0, _text(key % 11)).alias("visibility_set_1"),
-        summary.alias("weather_summary_set_1d"),
-        F.upper(summary).alias("weather_condition_set_1d"),
+        "if(event_id % 83 <> 0, 'ST1', null) as Station_ID",
+        """if(event_id % 53 = 0, '13/45/2024 01:00', date_format(ts, 'MM/dd/yyyy HH:mm') || ' UTC')
+           as Date_Time""",
+        "if(event_id % 5 <> 0, string(floor(value)), null) as air_temp_set_1",
+        "if(event_id % 41 = 0, 'calm', string(event_id * 3 % 40)) as wind_speed_set_1",
+        "if(event_id % 3 <> 0, string(event_id % 11), null) as visibility_set_1",
+        f"{_SUMMARY_TEXT} as weather_summary_set_1d",
+        f"upper({_SUMMARY_TEXT}) as weather_condition_set_1d",
     )
 
 
@@ -163,9 +149,7 @@ def observed_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dense_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = joined(spark, sf_dir)
-    observed = station_hour_panel(rows).withColumnRenamed("start_station_id", "station")
-    return densify(observed, hour_panel(rows))
+    return dense_station_panel(joined(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- SQL

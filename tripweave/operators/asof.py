@@ -42,7 +42,7 @@ def asof_join(
 
     A match holds ``0 <= left_time - right_time <= tolerance`` and, if given, equal ``by``
     columns. Of right rows at one time, the largest by ``tie_break`` and then by the remaining
-    columns counts. ``auto`` counts the intervals (one or two small jobs that stop early on a
+    columns counts. ``auto`` counts the intervals first (one small job that stops early on a
     large right side); ``interval`` and ``merge`` skip that. A streaming left side needs
     ``interval``.
     """
@@ -59,7 +59,7 @@ def asof_join(
 
     if strategy == "auto":
         small = _intervals_are_few(
-            right, readings, by, tolerance, bucket, max_interval_rows, max_rows_per_bucket,
+            right, right_time, by, tolerance, bucket, max_interval_rows, max_rows_per_bucket,
         )
         strategy = "interval" if small else "merge"
     if strategy == "interval":
@@ -87,35 +87,49 @@ def _one_row_per_time(
     return best.select(*by, "_r", *[F.col("_best")[name].alias(name) for name in order])
 
 
-def _intervals(
+def _with_interval(
     readings: DataFrame, by: list[str], tolerance: int, bucket: int,
 ) -> DataFrame:
-    """Each reading with ``[_r, _end)``, once per bucket that the interval touches."""
+    """Each reading with its interval ``[_r, _end)`` and the buckets the interval touches."""
     later = F.lead("_r").over(Window.partitionBy(*by).orderBy("_r"))
     end = F.least(F.coalesce(later, F.lit(_NEVER)), F.col("_r") + tolerance + 1)
-    buckets = F.sequence(
-        F.floor(F.col("_r") / bucket), F.floor((F.col("_end") - 1) / bucket),
-    )
-    return readings.withColumn("_end", end).withColumn("_bucket", F.explode(buckets))
+    return readings.withColumn("_end", end).withColumns({
+        "_first": F.floor(F.col("_r") / bucket), "_last": F.floor((F.col("_end") - 1) / bucket),
+    })
 
 
 def _intervals_are_few(
-    right: DataFrame, readings: DataFrame, by: list[str], tolerance: int, bucket: int,
+    right: DataFrame, right_time: str, by: list[str], tolerance: int, bucket: int,
     max_rows: int, max_rows_per_bucket: int,
 ) -> bool:
-    # Bound the raw rows before anything is sorted; the limit stops a large scan early.
-    if right.limit(max_rows + 1).count() > max_rows:
-        return False
-    per_bucket = _intervals(readings, by, tolerance, bucket).groupBy(*by, "_bucket").count()
-    rows, densest = per_bucket.agg(F.sum("count"), F.max("count")).first()
-    return rows is None or (rows <= max_rows and densest <= max_rows_per_bucket)
+    """Whether the intervals, cut at bucket borders, are few in all and in every bucket.
+
+    One job over at most ``max_rows + 1`` right times: the limit stops a large scan early.
+    Intervals of one key do not overlap, so besides those that start in a bucket at most one
+    reaches into it.
+    """
+    times = right.select(*by, _micros(F.col(right_time)).alias("_r")).limit(max_rows + 1)
+    readings = times.groupBy(*by, "_r").agg(F.count("*").alias("_copies"))
+    cut = _with_interval(readings.where(F.col("_r").isNotNull()), by, tolerance, bucket)
+    rows, pieces, densest = (
+        cut.groupBy(*by, "_first").agg(
+            F.sum("_copies").alias("rows"),
+            F.sum(F.col("_last") - F.col("_first") + 1).alias("pieces"),
+            F.count("*").alias("starting"),
+        ).agg(F.sum("rows"), F.sum("pieces"), F.max("starting")).first()
+    )
+    return rows is None or (
+        rows <= max_rows and pieces <= max_rows and densest < max_rows_per_bucket
+    )
 
 
 def _interval_join(
     left: DataFrame, readings: DataFrame, left_time: str, by: list[str], tolerance: int,
     bucket: int,
 ) -> DataFrame:
-    intervals = _renamed_keys(_intervals(readings, by, tolerance, bucket), by)
+    cut = _with_interval(readings, by, tolerance, bucket)
+    pieces = cut.withColumn("_bucket", F.explode(F.sequence("_first", "_last")))
+    intervals = _renamed_keys(pieces.drop("_first", "_last"), by)
     time = _micros(F.col(left_time))
     condition = (
         (F.floor(time / bucket) == F.col("_bucket"))

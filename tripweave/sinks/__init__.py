@@ -1,10 +1,10 @@
-from tripweave.sinks.files import write_parquet
+from tripweave.sinks.files import store, write_parquet
 from tripweave.sinks.messages import (
     json_messages, keyed_json_messages, write_kafka, write_message_files,
 )
 from tripweave.sinks.summaries import write_batch
 
 __all__ = [
-    "json_messages", "keyed_json_messages", "write_batch", "write_kafka",
+    "json_messages", "keyed_json_messages", "store", "write_batch", "write_kafka",
     "write_message_files", "write_parquet",
 ]

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from tripweave.session import shared_folder
+
 
 def write_parquet(
     table: DataFrame,
@@ -21,3 +23,14 @@ def write_parquet(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+
+
+def store(table: DataFrame, purpose: str) -> DataFrame:
+    """The table, written once to the shared folder and read from there.
+
+    For results that several later steps start from: they are computed once, and a lost
+    executor costs a re-read rather than a replay of everything before.
+    """
+    path = shared_folder(table.sparkSession, purpose)
+    write_parquet(table, path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
