@@ -103,8 +103,9 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reading per hour: the last event of the hour."""
     last = table(spark, sf_dir, "events").groupBy(F.date_trunc("hour", "ts")).agg(
-        F.max(F.struct("event_id", "ts", "value")).alias("last"),
-    ).select("last.*")
+        F.max_by("ts", "event_id").alias("ts"), F.max_by("value", "event_id").alias("value"),
+        F.max("event_id").alias("event_id"),
+    )
     readings = last.selectExpr(
         "date_trunc('minute', ts) as date_time", "double(floor(value)) as fahrenheit",
         "double(event_id * 3 % 40) as wind_speed", "double(event_id % 11) as visibility",

@@ -35,7 +35,7 @@ def asof_join(
     tie_break: Sequence[str] = (),
     strategy: str = "auto",
     bucket_seconds: int = 3600,
-    max_interval_rows: int = 1_000_000,
+    max_interval_rows: int = 500_000,
     max_rows_per_bucket: int = 512,
 ) -> DataFrame:
     """Left rows with the columns of their match, or nulls.
@@ -141,31 +141,33 @@ def _interval_join(
 def _merge_join(
     left: DataFrame, readings: DataFrame, left_time: str, by: list[str], tolerance: int,
 ) -> DataFrame:
-    # Distinct times of both sides; ``_r`` is set where a reading has that very time. Hot
-    # instants collapse on the map side, so a crowded moment is one row here.
     left_times = left.select(
         *by, _micros(F.col(left_time)).alias("_t"), F.lit(None).cast("bigint").alias("_r"),
     ).where(F.col("_t").isNotNull())
-    right_times = readings.select(*by, F.col("_r").alias("_t"), "_r")
-    minute = F.floor(F.col("_t") / _MINUTE)
-    times = (
-        left_times.unionByName(right_times)
-        .groupBy(*by, "_t").agg(F.max("_r").alias("_r"))
-        .withColumn("_minute", minute)
+    both = left_times.unionByName(readings.select(*by, F.col("_r").alias("_t"), "_r"))
+    both = both.withColumn("_minute", F.floor(F.col("_t") / _MINUTE))
+
+    # Distinct times; ``_r`` is set where a reading has that very time. Hot instants collapse
+    # on the map side, so a crowded moment is one row here.
+    times = both.groupBy(*by, "_minute", "_t").agg(F.max("_r").alias("_r"))
+
+    # Latest reading of all earlier minutes: within the day, else of earlier days. Counted
+    # from the sides again rather than from the times, as this shuffles only minutes.
+    minutes = (
+        both.groupBy(*by, "_minute").agg(F.max("_r").alias("_newest"))
+        .withColumn("_day", F.floor(F.col("_minute") / _MINUTES_PER_DAY))
     )
-
-    # Latest reading of all earlier minutes: within the day, else of earlier days.
-    day = F.floor(F.col("_minute") / _MINUTES_PER_DAY)
-    seen_minutes = times.groupBy(*by, "_minute").agg(F.max("_r").alias("_last")).withColumn("_day", day)
-    days = seen_minutes.groupBy(*by, "_day").agg(F.max("_last").alias("_day_last"))
     before_day = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select(*by, "_day", F.max("_day_last").over(before_day).alias("_from_days"))
+    days = (
+        minutes.groupBy(*by, "_day").agg(F.max("_newest").alias("_newest"))
+        .select(*by, "_day", F.max("_newest").over(before_day).alias("_from_days"))
+    )
     before_minute = (
         Window.partitionBy(*by, "_day").orderBy("_minute")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = (
-        seen_minutes.withColumn("_from_minutes", F.max("_last").over(before_minute))
+        minutes.withColumn("_from_minutes", F.max("_newest").over(before_minute))
         .join(days, [*by, "_day"])
         .select(*by, "_minute", F.coalesce("_from_minutes", "_from_days").alias("_carried"))
     )
