@@ -409,6 +409,16 @@ def usage_by_end_station(spark, sf_dir):
     return op.usage_counts(_slice(spark, sf_dir), "end_station_id")
 
 
+_USAGE_KEYS = ("member_type", "bike_number", "start_station_id", "end_station_id")
+
+
+@query(" union all ".join(
+    f"select '{key}' as attribute, {key} as category, count(*) as count from enriched group by {key}"
+    for key in _USAGE_KEYS), "enriched")
+def usage_profile(spark, sf_dir):
+    return plans.trip_profile(views.enriched(spark, sf_dir))["usage"]
+
+
 def _profile_sql(source: str, *columns: str) -> str:
     return " union all ".join(
         f"select '{c}' as attribute, cast(min({c}) as double) as min, cast(max({c}) as double) as max,"
@@ -530,6 +540,21 @@ def undefined_names(spark, sf_dir):
     return op.names_of(rows, "start_no", "start_name", STATION_CODES_UNDEFINED)
 
 
+@query(f"""
+    select 'start' as "end", start_no as station_id, start_name as station_name, count(*) as count
+    from (select "Start station number" as start_no, "Start station" as start_name from raw_trips)
+    where start_no in ({_UNDEFINED}) group by 2, 3
+    union all
+    select 'end', end_no, end_name, count(*)
+    from (select "End station number" as end_no, "End station" as end_name from raw_trips)
+    where end_no in ({_UNDEFINED}) group by 2, 3""", "raw_trips")
+def undefined_usage(spark, sf_dir):
+    named = {f"{end} station{part}": f"{end.lower()}_station_{name}"
+             for end in ("Start", "End") for part, name in ((" number", "id"), ("", "name"))}
+    trips = views.raw_trips(spark, sf_dir).withColumnsRenamed(named)
+    return plans.reconcile_stations(trips, views.stations(spark, sf_dir))["undefined_names"]
+
+
 @query("select distinct weather_summary_set_1d as weather_summary from raw_weather", "raw_weather")
 def distinct_values(spark, sf_dir):
     return views.raw_weather(spark, sf_dir).select(F.col("weather_summary_set_1d").alias("weather_summary")).distinct()

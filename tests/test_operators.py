@@ -89,8 +89,7 @@ def test_station_sets(rows):
     assert set(rows.back(sets["missing"])) == {("2",), ("00000",), (None,)}
     assert set(rows.back(sets["start_only"])) == {("00000",), (None,)}
     assert rows.back(sets["known"], "station_id") == [("1",)]
-    assert rows.back(sets["undefined_start_names"]) == [("00000", "X")]
-    assert rows.back(sets["undefined_end_names"]) == []
+    assert rows.back(sets["undefined_names"]) == [("start", "00000", "X", 1)]
 
 
 def test_start_only_equals_except(rows):

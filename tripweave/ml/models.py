@@ -12,37 +12,37 @@ from tripweave.ml.features import ModelColumns, city_stages, station_stages
 from tripweave.session import ensure_checkpoint_dir
 
 
-def _regressor(columns: ModelColumns, rounds: int, seed: int) -> GBTRegressor:
-    # Node ids of the growing trees are cached and checkpointed, so that late rounds neither
-    # re-walk every earlier tree nor replay a long lineage after a lost executor.
-    return GBTRegressor(
+def _fit(
+    stages: list, train: DataFrame, columns: ModelColumns, rounds: int, seed: int,
+    cache_node_ids: bool,
+) -> PipelineModel:
+    # The residuals of earlier rounds are checkpointed, so that a lost executor does not
+    # replay all rounds. Caching node ids pays off for deep trees only.
+    ensure_checkpoint_dir(train.sparkSession)
+    boosting = GBTRegressor(
         featuresCol=columns.features, labelCol=columns.label, predictionCol=columns.prediction,
-        maxIter=rounds, seed=seed, cacheNodeIds=True, checkpointInterval=10,
+        maxIter=rounds, seed=seed, cacheNodeIds=cache_node_ids, checkpointInterval=5,
     )
-
-
-def _fit(stages: list, train: DataFrame, columns: ModelColumns, rounds: int, seed: int) -> PipelineModel:
-    ensure_checkpoint_dir(train.sparkSession)
-    return Pipeline(stages=[*stages, _regressor(columns, rounds, seed)]).fit(train)
+    return Pipeline(stages=[*stages, boosting]).fit(train)
 
 
 def fit_city_model(
     train: DataFrame, rounds: int = BOOSTING_ROUNDS, seed: int = 0,
-    columns: ModelColumns = ModelColumns(),
+    columns: ModelColumns = ModelColumns(), cache_node_ids: bool = False,
 ) -> PipelineModel:
     """Model of trips per hour over a city panel with a numeric weather class and a label;
     rows with any null are left out of training.
     """
     numeric = train.withColumn("weather_class", F.col("weather_class").try_cast("double"))
-    return _fit(city_stages(columns), numeric.na.drop("any"), columns, rounds, seed)
+    return _fit(city_stages(columns), numeric.na.drop("any"), columns, rounds, seed, cache_node_ids)
 
 
 def fit_station_model(
     train: DataFrame, rounds: int = BOOSTING_ROUNDS, seed: int = 0,
-    columns: ModelColumns = ModelColumns(),
+    columns: ModelColumns = ModelColumns(), cache_node_ids: bool = False,
 ) -> PipelineModel:
     """Model of trips per station and hour; rows with any null are left out of training."""
-    return _fit(station_stages(columns), train.na.drop("any"), columns, rounds, seed)
+    return _fit(station_stages(columns), train.na.drop("any"), columns, rounds, seed, cache_node_ids)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -1,5 +1,5 @@
 from tripweave.operators.aggregates import (
-    class_shares, counts_by, daily_counts, daily_totals, group_mode, numeric_profile,
+    class_shares, counts_by, counts_of_columns, daily_counts, daily_totals, group_mode, numeric_profile,
     row_count, top_counts, usage_counts,
 )
 from tripweave.operators.asof import asof_join
@@ -14,7 +14,7 @@ from tripweave.operators.sets import (
 
 __all__ = [
     "all_combinations", "asof_join", "between_dates", "cast_all_double", "class_shares",
-    "counts_by", "daily_counts", "daily_totals", "distinct_pairs", "group_mode",
+    "counts_by", "counts_of_columns", "daily_counts", "daily_totals", "distinct_pairs", "group_mode",
     "ids_missing_from", "in_list", "inside_box", "keep_largest", "label_from_count",
     "matching", "message_box", "names_of", "numeric_profile", "preview", "row_count",
     "start_ids_never_ended", "top_counts", "usage_counts", "used_ids", "with_both_ends_in",

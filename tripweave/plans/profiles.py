@@ -1,30 +1,36 @@
-"""Profiles of trips, weather and joined data, each a set of lazy tables."""
+"""Profiles of trips, weather and joined data, each a few lazy tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tripweave.fixed_values import DEFAULT_END_DATE, DEFAULT_START_DATE
-from tripweave.operators.aggregates import class_shares, counts_by, numeric_profile, usage_counts
+from tripweave.operators.aggregates import (
+    class_shares, counts_by, counts_of_columns, numeric_profile,
+)
 from tripweave.operators.filters import between_dates, with_both_ends_in
 
+USAGE_KEYS = ("member_type", "bike_number", "start_station_id", "end_station_id")
+
 
 def trip_profile(enriched: DataFrame) -> dict[str, DataFrame]:
-    """Usage by member, bike and station, and the spread of duration and distance."""
-    keys = {
-        "member": "member_type", "bike": "bike_number",
-        "start_station": "start_station_id", "end_station": "end_station_id",
+    """Usage by member type, bike and station of either end, most used first, and the spread
+    of duration and distance: two passes over the trips in all.
+
+    Distances are numbers, so their extremes are numeric too.
+    """
+    usage = counts_of_columns(enriched, USAGE_KEYS)
+    return {
+        "usage": usage.orderBy("attribute", F.desc("count"), "category"),
+        "numeric": numeric_profile(enriched, ["duration", "abs_distance"]),
     }
-    profile = {f"usage_by_{name}": usage_counts(enriched, key) for name, key in keys.items()}
-    # Distances are numbers here, so their extremes are numeric too.
-    return profile | {"numeric": numeric_profile(enriched, ["duration", "abs_distance"])}
 
 
 def weather_profile(weather: DataFrame) -> dict[str, DataFrame]:
     """Counts and shares of the classes, and the spread of the readings."""
     return {
-        "class_counts": counts_by(weather, "weather_class"),
-        "class_shares": class_shares(weather, "weather_class"),
+        "classes": class_shares(weather, "weather_class"),
         "numeric": numeric_profile(weather, ["air_temp", "wind_speed", "visibility"]),
     }
 

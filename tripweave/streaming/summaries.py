@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripweave.fixed_values import STREAM_CATEGORY_ATTRIBUTES, STREAM_NUMERIC_ATTRIBUTES
-from tripweave.operators.aggregates import unpivot_measures
+from tripweave.operators.aggregates import counts_of_columns, unpivot_measures
 from tripweave.operators.filters import message_box
 from tripweave.schemas import TRIP_MESSAGE
 from tripweave.sinks.summaries import write_batch
@@ -46,16 +46,8 @@ def numeric_summary(
 def category_counts(
     decoded: DataFrame, keep: Column, attributes: Sequence[str] = STREAM_CATEGORY_ATTRIBUTES,
 ) -> DataFrame:
-    """Messages after the filter per attribute and category, one row each.
-
-    All attributes are counted in one pass and one shuffle.
-    """
-    cells = [cell for name in attributes for cell in (F.lit(name), F.col(name))]
-    kept = decoded.where(~F.col("is_corrupt") & keep)
-    unpivoted = kept.select(
-        F.stack(F.lit(len(attributes)), *cells).alias("attribute", "category"),
-    )
-    return unpivoted.groupBy("attribute", "category").agg(F.count("*").alias("count"))
+    """Messages after the filter per attribute and category, one row each."""
+    return counts_of_columns(decoded.where(~F.col("is_corrupt") & keep), attributes)
 
 
 def category_lists(
