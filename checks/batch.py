@@ -17,7 +17,7 @@ from tripweave.fixed_values import (
     TRIP_TIME_FORMAT, WEATHER_TIME_FORMAT, WEATHER_TIME_LENGTH,
 )
 from tripweave.functions import (
-    calendar_parts, haversine_metres, parse_double, parse_int, parse_time, remap_code, weather_class,
+    calendar_parts as calendar_part_columns, haversine_metres, parse_double, parse_int, parse_time, remap_code, weather_class,
 )
 from tripweave.schemas import STATIONS, TRIP_MESSAGE
 from tripweave.session import shared_folder
@@ -222,8 +222,8 @@ def remap_codes(spark, sf_dir):
 @query("""
     select event_id, cast(hour(start_date) as int) as hour, cast(dayofyear(start_date) as int) as dayofyear,
            cast(month(start_date) as int) as month from trips""", "trips")
-def calendar_keys(spark, sf_dir):
-    parts = calendar_parts(F.col("start_date"))
+def calendar_parts(spark, sf_dir):
+    parts = calendar_part_columns(F.col("start_date"))
     return views.trips(spark, sf_dir).select("event_id", *[part.alias(name) for name, part in parts.items()])
 
 

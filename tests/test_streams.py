@@ -40,7 +40,7 @@ def deliver(folders, number, messages, broken=()):
 
 def summarise(spark, folders, **options):
     query = start_summaries(text_stream(spark, folders["in"], 1), folders["numbers"], folders["categories"],
-                            folders["checkpoint"], **options)
+                            folders["checkpoint"], **{"station_cut": 9, **options})
     assert wait(query, 120)
 
 

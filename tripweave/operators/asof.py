@@ -43,8 +43,8 @@ def asof_join(
     A match holds ``0 <= left_time - right_time <= tolerance`` and, if given, equal ``by``
     columns. Of right rows at one time, the largest by ``tie_break`` and then by the remaining
     columns counts. ``auto`` counts the intervals first (one small job that stops early on a
-    large right side); ``interval`` and ``merge`` skip that. A streaming left side needs
-    ``interval``.
+    large right side); ``interval`` and ``merge`` skip that. A streaming left side cannot
+    be merged.
     """
     clash = (set(left.columns) & set(right.columns)) - set(by)
     if clash:
@@ -62,6 +62,8 @@ def asof_join(
             right, right_time, by, tolerance, bucket, max_interval_rows, max_rows_per_bucket,
         )
         strategy = "interval" if small else "merge"
+    if strategy == "merge" and left.isStreaming:
+        raise ValueError("a streaming left side needs few right rows or strategy='interval'")
     if strategy == "interval":
         joined = _interval_join(left, readings, left_time, by, tolerance, bucket)
     else:

@@ -17,12 +17,15 @@ def write_parquet(
 ) -> None:
     """Write the table; an existing path is an error unless another mode is asked for.
 
-    Partition columns let later reads skip folders (say, by month).
+    Partition columns let later reads skip folders (say, by month). The rows are brought
+    together by them first, or every task would add a file to every folder; a partition much
+    larger than the others is split over several tasks at run time.
     """
-    writer = table.write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        rows = table.hint("rebalance", *partition_by)
+        rows.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    else:
+        table.write.mode(mode).parquet(path)
 
 
 def store(table: DataFrame, purpose: str) -> DataFrame:

@@ -56,6 +56,9 @@ def category_lists(
     """One row per attribute with parallel lists of categories and counts, sorted by count
     and then category. ``cut`` keeps the first N of an attribute.
 
+    A list holds one entry per distinct category, never one per message; for attributes with
+    many categories give a cut, or use the counts as they are.
+
     The cut is a ranked filter, which Spark applies before the shuffle too, so a station list
     of any length reaches the list builder as N rows.
     """
@@ -86,18 +89,19 @@ def start_summaries(
     numeric_path: str,
     category_path: str,
     checkpoint: str,
+    station_cut: int,
     keep: Column | None = None,
-    station_cut: int | None = None,
     order: str = "asc",
     every_seconds: float | None = None,
 ) -> StreamingQuery:
-    """Append a numeric and a categorical summary of every micro-batch to two Parquet tables.
+    """Add a numeric and a categorical summary of every micro-batch to two Parquet tables.
 
-    The message statistics are independent per batch and stamped with the processing time.
+    Each batch is summarised on its own and stamped with the processing time. Of the start
+    stations the first ``station_cut`` are listed.
     """
     keep = message_box() if keep is None else keep
     decoded = decode_messages(messages, TRIP_MESSAGE)
-    cut = {} if station_cut is None else {"start_station_id": station_cut}
+    cut = {"start_station_id": station_cut}
 
     def summarise(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
