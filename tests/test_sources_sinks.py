@@ -27,6 +27,13 @@ def test_csv_header_comments_and_glob(spark, rows, tmp_path):
     assert rows.back(read_csv(spark, f"{tmp_path}/*-tripdata/*.csv", declared)) == rows.back(frame)
 
 
+def test_csv_with_another_header_is_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n1,A\n")
+    (tmp_path / "b.csv").write_text("name,id\nB,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path)).collect()
+
+
 def test_csv_without_comments(spark, rows, tmp_path):
     (tmp_path / "a.csv").write_text("id;name\n#1;A\n")
     assert rows.back(read_csv(spark, str(tmp_path / "a.csv"), separator=";", comment=None)) == [("#1", "A")]

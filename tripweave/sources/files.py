@@ -16,14 +16,16 @@ def read_csv(
     """CSV with a header line; every column is text and commented lines are skipped.
 
     With a schema (which must list the whole header) planning reads no file. Without one only
-    the header is read; types are never inferred.
+    a header is read; types are never inferred. Either way each file's header is checked, so
+    a file with other columns is an error and never read by position.
     """
-    reader = spark.read.option("header", True).option("sep", separator)
+    reader = (
+        spark.read.option("header", True).option("sep", separator).option("enforceSchema", False)
+    )
     if comment is not None:
         reader = reader.option("comment", comment)
     if schema is not None:
-        # Check names against each header instead of trusting column positions.
-        reader = reader.schema(schema).option("enforceSchema", False)
+        reader = reader.schema(schema)
     return reader.csv(path)
 
 
