@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -18,18 +17,23 @@ def apply_defaults(spark: SparkSession, time_zone: str = "UTC") -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new, unused path for one run under the folder that every executor can reach.
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share.
 
-    The folder is the one named by ``spark.checkpoint.dir``. Only a local-mode session
-    without that setting falls back to a temporary folder of this machine.
+    It is the one named by ``spark.checkpoint.dir``, else the one given to
+    ``setCheckpointDir``, else the warehouse: the same rule for every master.
     """
-    root = spark.conf.get(_SHARED_FOLDER_SETTING, None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_SHARED_FOLDER_SETTING} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tripweave-")
-    return f"{root.rstrip('/')}/tripweave/{purpose}-{uuid.uuid4().hex}"
+    root = (
+        spark.conf.get(_SHARED_FOLDER_SETTING, None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
+    return root.rstrip("/")
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new, unused path for one run under the folder that every executor can reach."""
+    return f"{shared_root(spark)}/tripweave/{purpose}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
