@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripweave.llm import exact_dedup, quality_rules, sharding
+from tripweave.llm import bpe, exact_dedup, language_id, packing, quality_rules, sharding, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """A vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+URL_RULES = [
+    url_filter.Rule("net/", "block"), url_filter.Rule("example.net/en/", "allow"),
+    url_filter.Rule("example.com/de/", "block"), url_filter.Rule("org/fr/", "allow"),
+]
+
+
+@query()
+def op1_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    model = url_filter.fit(url_filter.SEED_URLS + url_filter.weakly_labelled(pages))
+    return url_filter.judge(pages, model, URL_RULES)
+
+
+@query()
+def op2_best_fit_packing(spark, sf_dir):
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    return packing.pack(pieces)
+
+
 @query()
 def op3_hypergeometric_sharding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(
@@ -51,3 +77,22 @@ def op5_quality_cascade(spark, sf_dir):
     from d join g on d.t = g.t""")
 def op6_radix_dedup(spark, sf_dir):
     return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
+
+
+def id_remainder(divisor: int):
+    """crc32 of doc_id as text, modulo ``divisor``; -1 for a null doc_id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor, F.lit(-1))
+
+
+@query()
+def op7_zstd_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(id_remainder(4) != 2))
+    return language_id.predict(docs, model).select(
+        "doc_id", (id_remainder(4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query()
+def op9_bpe_tree(spark, sf_dir):
+    path = tokenizer("byte_bpe_50k.json")
+    return bpe.digest_and_decode(bpe.encode_documents(table(spark, sf_dir, "documents"), path), path)
