@@ -151,30 +151,26 @@ def scores_of(column: pa.Array, model: QualityModel) -> np.ndarray:
     return out
 
 
-def with_score(docs: DataFrame, model: QualityModel, text: str = "text", name: str = "_quality_score") -> DataFrame:
-    """The rows, all columns kept, with the score (0 to 1) as ``name``."""
+def score_column(docs: DataFrame, model: QualityModel, text: str = "text") -> Column:
+    """The score (0 to 1) of each row as a column; only the text is handed to Python."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    columns = [f.name for f in docs.schema.fields]
-    at = columns.index(text)
-    schema = docs.schema.add(name, "double")
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _parts(batches, at):
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(scores_of(part.column(at), sent.value), pa.float64())],
-                names=[*part.schema.names, name])
+    @F.arrow_udf("double")
+    def scored(column: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([column], names=["text"])
+        found = [scores_of(part.column("text"), sent.value) for part in _parts(batch)]
+        return pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
 
-    return docs.mapInArrow(scored, schema)
+    return scored(F.col(f"`{text}`"))
 
 
-def _parts(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Slices bounded in bytes and in rows, as each row has a dense term vector."""
-    for part in slices(batches, at):
+    for part in slices([batch], "text"):
         for start in range(0, part.num_rows, 512):
             yield part.slice(start, 512)
 
 
 def keep_good(docs: DataFrame, model: QualityModel, text: str = "text", threshold: float = 0.3) -> DataFrame:
     """The rows whose score reaches the threshold, with their own columns."""
-    name = "_quality_score"
-    return with_score(docs, model, text, name).where(F.col(name) >= threshold).drop(name)
+    return docs.where(score_column(docs, model, text) >= threshold)

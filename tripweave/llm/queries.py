@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tripweave.llm import bpe, exact_dedup, language_id, packing, quality_rules, sharding, url_filter
+from tripweave.llm import (
+    bpe, exact_dedup, html_text, language_id, packing, quality_classifier, quality_rules, sharding,
+    shingle_join, url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,6 +67,11 @@ def op3_hypergeometric_sharding(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query()
+def op4_shingle_join(spark, sf_dir):
+    return shingle_join.find_groups(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op5_quality_cascade(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents"))
@@ -92,7 +100,26 @@ def op7_zstd_language(spark, sf_dir):
         "doc_id", (id_remainder(4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query()
+def op8_lsa_neighbours(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_classifier.fit(docs, labels.where(id_remainder(5) > 0))
+    return docs.withColumn("score", quality_classifier.score_column(docs, model)).select(
+        "doc_id", (id_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query()
 def op9_bpe_tree(spark, sf_dir):
     path = tokenizer("byte_bpe_50k.json")
     return bpe.digest_and_decode(bpe.encode_documents(table(spark, sf_dir, "documents"), path), path)
+
+
+@query()
+def op10_html_blocks(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.fit(pages, table(spark, sf_dir, "documents")))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
