@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -90,8 +90,18 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 def shingle_sets(column: pa.Array, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct hashes of the word shingles of each row, flat, with the rows' offsets.
 
-    A row of 1 to ``size - 1`` words has its whole sequence as one shingle; none has none.
+    A row of 1 to ``size - 1`` words has its whole sequence as one shingle; none has none. The
+    column is worked through in slices, as the hashing holds some 50 bytes per byte of text.
     """
+    batch = pa.RecordBatch.from_arrays([column], names=["text"])
+    parts = [_shingle_sets(part.column("text"), size) for part in slices([batch], "text")]
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
+    sizes = np.concatenate([np.diff(where) for _, where in parts])
+    return np.concatenate([flat for flat, _ in parts]), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+
+def _shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     data, where = raw(column)
     starts, ends, row = word_spans(data, where)
     words = word_hashes(data, starts, ends)
