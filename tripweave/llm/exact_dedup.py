@@ -63,7 +63,7 @@ def find_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", car
             .withColumn("_next", F.monotonically_increasing_id()),
             f"radix-groups-{round_number}")
         dealt = store(
-            keyed.join(groups, ["_group", "_chunk", "_ended"], "left").select(
+            keyed.join(groups.hint("merge"), ["_group", "_chunk", "_ended"], "left").select(
                 "doc_id", "_sha", *carried, "_size", "_keep",
                 F.when(F.col("_size").isNotNull(), F.struct(F.lit(round_number).alias("round"), F.col("_next").alias("n"))).alias("_set"),
                 F.coalesce(F.col("_size").isNotNull() & ~F.col("_ended"), F.lit(False)).alias("_goes_on"),
@@ -90,14 +90,15 @@ def _choose(found: DataFrame, carried: list[str]) -> DataFrame:
         numbered.where(is_best).groupBy("_set")
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_number").alias("_first"))
         .where(F.col("_n") > 1).drop("_n"))
-    chosen = numbered.join(tied, "_set", "left")
-    return chosen.select(
-        "doc_id",
-        F.when(F.col("_set").isNull(), F.col("doc_id")).otherwise(F.col("_keep")).alias("keep_id"),
-        F.coalesce(F.col("_size"), F.lit(1)).cast("long").alias("group_size"),
-        (F.col("_set").isNull()
-         | (is_best & (F.col("_first").isNull() | (F.col("_first") == F.col("_number"))))).alias("kept"),
-        F.lower(F.hex("_sha")).alias("text_sha256"), *carried)
+    def columns(keep: Column, kept: Column) -> list:
+        return ["doc_id", keep.alias("keep_id"), F.coalesce(F.col("_size"), F.lit(1)).cast("long").alias("group_size"),
+                kept.alias("kept"), F.lower(F.hex("_sha")).alias("text_sha256"), *carried]
+
+    # Unique documents have no group; they stay out of the join, where they would share one key.
+    unique = numbered.where(F.col("_set").isNull()).select(*columns(F.col("doc_id"), F.lit(True)))
+    grouped = numbered.where(F.col("_set").isNotNull()).join(tied.hint("merge"), "_set", "left")
+    first = F.col("_first").isNull() | (F.col("_first") == F.col("_number"))
+    return unique.unionByName(grouped.select(*columns(F.col("_keep"), is_best & first)))
 
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
