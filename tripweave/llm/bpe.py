@@ -22,6 +22,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from tripweave.llm.text_bytes import slices, texts
 
 LEAF_CHARS = 8_192
 SPREAD_CHARS = 65_536
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 400_000
 LONGEST_REMEMBERED = 64
 
 # The white space that both vocabularies' pre-tokenizers split at.
@@ -40,11 +41,20 @@ WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205
 # A space stays with the word after it; of longer white space the last character stays apart.
 _WORD_WITH_SPACE = re.compile(f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
 _WORD = re.compile("[^ \t\n\r]+")
+# Letters of Latin-1; between them and its other signs both pre-tokenizers cut.
+_LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_FINE_WITH_SPACE = re.compile(f" ?[{_LETTER}]+| ?[^{_LETTER}{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
+_FINE = re.compile(f"[{_LETTER}]+|[^{_LETTER}{WHITE_SPACE}]+")
 _SAFE_CUT = re.compile(f"(?<=[^{WHITE_SPACE}]) (?=[^{WHITE_SPACE}])")
 
 
 class WordwiseEncoder:
-    """Ids as little-endian 32-bit bytes. ``keeps_space``: byte-level (True) or word (False) BPE."""
+    """Ids as little-endian 32-bit bytes. ``keeps_space``: byte-level (True) or word (False) BPE.
+
+    Texts of Latin-1 without an apostrophe are cut finer, between letters and other signs, as both
+    pre-tokenizers cut there; for word BPE they are lower-cased first, as its normalizer does.
+    Other texts are cut at white space only.
+    """
 
     def __init__(self, path: str, keeps_space: bool):
         from tokenizers import Tokenizer
@@ -52,9 +62,13 @@ class WordwiseEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        self.special = re.compile("|".join(re.escape(t.content) for t in added) or "(?!)")
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special_texts = [t.content for t in added.values()]
+        self.special = re.compile("|".join(map(re.escape, self.special_texts)) or "(?!)")
+        self.separator, self.separator_id = next(((t.content, i) for i, t in added.items()), (None, -1))
+        self.lower = not keeps_space
         self.find = (_WORD_WITH_SPACE if keeps_space else _WORD).findall
+        self.find_fine = (_FINE_WITH_SPACE if keeps_space else _FINE).findall
         self.known: dict[str, bytes] = {}
 
     def direct(self, text: str) -> bytes:
@@ -64,18 +78,46 @@ class WordwiseEncoder:
     def _bytes(ids: list[int]) -> bytes:
         return np.array(ids, "<u4").tobytes()
 
+    def _cut(self, text: str) -> list[str] | None:
+        """The words of a text; None if it holds a special token."""
+        if any(token in text for token in self.special_texts):
+            return None
+        if "'" in text:
+            return self.find(text)
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.find(text)
+        return self.find_fine(text.lower() if self.lower else text)
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word. Many go to the library as one text, parted by a special token, which
+        it encodes apart from what stands around it."""
+        if self.separator is None:
+            return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        joined = [self.separator.join(words[i:i + 64]) for i in range(0, len(words), 64)]
+        out = []
+        for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
+            ids = np.array(e.ids, "<u4")
+            held, at = ids.tobytes(), 0
+            for cut in (np.flatnonzero(ids == self.separator_id) * 4).tolist():
+                out.append(held[at:cut])
+                at = cut + 4
+            out.append(held[at:])
+        return out
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        plain = [None if self.special.search(text) else self.find(text) for text in texts]
-        missing = [w for w in set().union(*filter(None, plain)).difference(self.known)]
-        if len(self.known) + len(missing) > REMEMBERED_WORDS:
-            self.known.clear()
-            missing = list(set().union(*filter(None, plain)))
-        encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        fresh = {w: self._bytes(e.ids) for w, e in zip(missing, encoded)}
+        plain = [self._cut(text) for text in texts]
+        used = set().union(*filter(None, plain))
         known = self.known
-        known.update(fresh)
+        missing = list(used.difference(known))
+        if len(known) + len(missing) > REMEMBERED_WORDS:
+            # Words met first are the frequent ones; the later half is forgotten.
+            self.known = known = dict(islice(known.items(), REMEMBERED_WORDS // 2))
+            missing = list(used.difference(known))
+        known.update(zip(missing, self._encode_words(missing)))
         out = [self.direct(t) if w is None else b"".join(map(known.__getitem__, w)) for t, w in zip(texts, plain)]
-        for word in fresh:
+        for word in missing:
             if len(word) > LONGEST_REMEMBERED:
                 del known[word]
         return out
@@ -170,25 +212,32 @@ def encode_tree(whole_texts: list[str], path: str, leaf_chars: int = LEAF_CHARS)
     return [join_tree([next(encoded) for _ in parts], encoder.direct, table) for parts in leaves]
 
 
+def _identity(ids: list[bytes]) -> list[pa.Array]:
+    return [pa.array(ids, pa.binary())]
+
+
 def encode_documents(
     docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
     leaf_chars: int = LEAF_CHARS, spread_chars: int = SPREAD_CHARS,
+    describe: Callable[[list[bytes]], list[pa.Array]] = _identity, columns: str = "ids binary",
 ) -> DataFrame:
     """``doc_id, ids`` (binary, little-endian 32-bit) of every whole text.
 
     Texts up to ``spread_chars`` are encoded where they are read, with no shuffle. The leaves of
     longer ones become rows, are encoded in whatever task they reach, and meet again per document
-    to be joined; only those texts move.
+    to be joined; only those texts move. ``describe`` turns the ids of some documents into other
+    ``columns`` in the same task, so that the ids need not leave it.
     """
     rows = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
     is_long = F.length("_text") > spread_chars
     id_type = rows.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", *(c.split()[0] for c in columns.split(", "))]
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "_text"):
             ids = encode_tree(texts(part, "_text"), path, leaf_chars)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *describe(ids)], names=names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         special = encoder_of(path, True).special
@@ -214,30 +263,26 @@ def encode_documents(
     def joined(leaves: pa.Table) -> pa.Table:
         leaves = leaves.sort_by("_leaf")
         ids = join_tree(leaves.column("_ids").to_pylist(), encoder_of(path, True).direct, token_bytes(path))
-        return pa.table({"doc_id": leaves.column("doc_id").slice(0, 1), "ids": pa.array([ids], pa.binary())})
+        return pa.table([leaves.column("doc_id").slice(0, 1), *describe([ids])], names=names)
 
-    short = rows.where(~is_long).mapInArrow(whole, f"doc_id {id_type}, ids binary")
+    short = rows.where(~is_long).mapInArrow(whole, f"doc_id {id_type}, {columns}")
     spread = (
         rows.where(is_long).withColumn("_row", F.monotonically_increasing_id())
         .mapInArrow(cut, f"doc_id {id_type}, _row long, _leaf int, _part string")
         .repartition(F.col("_row"), F.col("_leaf"))
         .mapInArrow(leaf_ids, f"doc_id {id_type}, _row long, _leaf int, _ids binary")
-        .groupBy("_row").applyInArrow(joined, f"doc_id {id_type}, ids binary"))
+        .groupBy("_row").applyInArrow(joined, f"doc_id {id_type}, {columns}"))
     return short.unionByName(spread)
 
 
-def digest_and_decode(encoded: DataFrame, path: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of encoded documents."""
-    id_type = encoded.schema["doc_id"].dataType.simpleString()
-
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def encode_and_decode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", **sizes: int) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: digests of the ids and of their decoding."""
+    def digests(ids: list[bytes]) -> list[pa.Array]:
         table = token_bytes(path)
-        for batch in batches:
-            ids = batch.column("ids").to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()),
-                 pa.array([hashlib.sha256(i).hexdigest() for i in ids]),
-                 pa.array([hashlib.sha256(decode_ids(i, table).encode()).hexdigest() for i in ids])],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        return [pa.array([len(i) // 4 for i in ids], pa.int64()),
+                pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
+                pa.array([hashlib.sha256(decode_ids(i, table).encode()).hexdigest() for i in ids], pa.string())]
 
-    return encoded.mapInArrow(digests, f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return encode_documents(
+        docs, path, doc_id, text, describe=digests,
+        columns="n_tokens long, ids_sha256 string, decoded_sha256 string", **sizes)

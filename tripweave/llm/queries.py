@@ -110,8 +110,7 @@ def op8_lsa_neighbours(spark, sf_dir):
 
 @query()
 def op9_bpe_tree(spark, sf_dir):
-    path = tokenizer("byte_bpe_50k.json")
-    return bpe.digest_and_decode(bpe.encode_documents(table(spark, sf_dir, "documents"), path), path)
+    return bpe.encode_and_decode(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
 @query()
