@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tripweave.sinks.files import store
 
 _SPACE = r"[\x20\x09-\x0D]+"
-_SPACE_CHARS = F.lit(" \t\n\x0b\f\r")
+_SPACE_CHARS = " \t\n\x0b\f\r"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -33,7 +33,7 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def words(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text; none for null."""
-    trimmed = F.btrim(F.coalesce(text, F.lit("")), _SPACE_CHARS)
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(_SPACE_CHARS))
     return F.when(F.length(trimmed) == 0, F.array().cast("array<string>")).otherwise(
         F.split(trimmed, _SPACE))
 
@@ -54,7 +54,7 @@ def capital_count(text: Column) -> Column:
 def repeated_lines(text: Column) -> Column:
     """Lines (split at ``\\n``) with a word that equal an earlier line of the text."""
     lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    with_word = F.filter(lines, lambda line: F.length(F.btrim(line, _SPACE_CHARS)) > 0)
+    with_word = F.filter(lines, lambda line: F.length(F.btrim(line, F.lit(_SPACE_CHARS))) > 0)
     return _let(with_word, lambda kept: F.size(kept) - F.size(F.array_distinct(kept))).cast("long")
 
 
@@ -172,8 +172,8 @@ def cascade(text: Column, of_words: Column, rules: list[Rule]) -> Column:
 def keep_passing(docs: DataFrame, text: str = "text", rules: list[Rule] | None = None) -> DataFrame:
     """The rows that pass every rule, with their own columns."""
     rules = order_rules(docs, default_rules() if rules is None else rules, text)
-    verdict = cascade(F.col(f"`{text}`"), words(F.col(f"`{text}`")), rules)
-    return docs.where(verdict.isNull())
+    content = F.col(f"`{text}`")
+    return docs.where(_let(words(content), lambda w: cascade(content, w, rules)).isNull())
 
 
 def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: list[Rule] | None = None) -> DataFrame:

@@ -87,7 +87,8 @@ def shard_rows(rows: DataFrame, n_shards: int, seed: int = 7, block_rows: int =
     """
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
-    placed = rows.checkpoint()
+    names = [f"_c{i}" for i in range(len(rows.columns))]  # any column names may come in
+    placed = rows.toDF(*names).checkpoint()
     counts = placed.groupBy(F.spark_partition_id().alias("p")).count().collect()
     rows_of = {r["p"]: r["count"] for r in counts}  # one number per input partition
     matrix = {p: sent.tolist() for p, sent in communication_matrix(rows_of, n_shards, seed).items()}
@@ -124,4 +125,4 @@ def shard_rows(rows: DataFrame, n_shards: int, seed: int = 7, block_rows: int =
         dealt.withColumn("_rank", F.row_number().over(inside) - 1)
         .join(starts, ["shard", "_block"])
         .withColumn("slot", (F.col("_start") + F.col("_rank")).cast("long"))
-        .select(*[F.col(f"`{c}`") for c in rows.columns], "shard", "slot"))
+        .select(*names, "shard", "slot").toDF(*rows.columns, "shard", "slot"))
