@@ -337,7 +337,7 @@ def _asof(spark, sf_dir, tolerance: int, strategy: str) -> DataFrame:
 
 @query(_asof_sql(360_000), "trips", "weather")
 def asof_join(spark, sf_dir):
-    return _asof(spark, sf_dir, 360_000, "auto")
+    return _asof(spark, sf_dir, 360_000, "interval")
 
 
 @query(_asof_sql(360_000), "trips", "weather")
@@ -347,7 +347,7 @@ def asof_join_merge(spark, sf_dir):
 
 @query(_asof_sql(1_200), "trips", "weather")
 def asof_join_short_tolerance(spark, sf_dir):
-    return _asof(spark, sf_dir, 1_200, "auto")
+    return _asof(spark, sf_dir, 1_200, "interval")
 
 
 @query(_asof_sql(1_200), "trips", "weather")

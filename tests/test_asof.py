@@ -39,7 +39,7 @@ def run(rows, left, right, tolerance_seconds, strategy, by_place=True, **options
     return rows.back(joined, "k", "seen", "reading")
 
 
-@pytest.mark.parametrize("strategy", ["auto", "interval", "merge"])
+@pytest.mark.parametrize("strategy", ["interval", "merge"])
 @pytest.mark.parametrize("by_place", [False, True])
 def test_random_rows(rows, strategy, by_place):
     draw = random.Random(7)
@@ -64,7 +64,7 @@ def test_edges(rows, strategy):
         [(1, at(0), 5), (2, at(0), 5), (3, None, None), (4, None, None)], key=repr)
 
 
-@pytest.mark.parametrize("strategy", ["auto", "interval", "merge"])
+@pytest.mark.parametrize("strategy", ["interval", "merge"])
 def test_empty_sides(rows, strategy):
     assert run(rows, [(1, "a", at(0))], [], 10, strategy) == [(1, None, None)]
     assert run(rows, [], [("a", at(0), 5)], 10, strategy) == []
@@ -80,16 +80,16 @@ def test_readings_at_one_time_go_by_the_tie_break(rows, strategy):
     assert rows.back(ranked, "reading") == [(3,)]
 
 
-def test_auto_leaves_the_broadcast_when_readings_are_many_or_dense(rows):
+def test_null_times_and_more_readings_change_neither_rows_nor_plan(rows):
     left = rows.of("k int, at timestamp", (1, at(0)))
-    right = rows.of("seen timestamp, reading int", *[(at(i), i) for i in range(40)])
-    def window_count(**options):
-        joined = asof_join(left, right, "at", "seen", 10, **options)
-        return joined._jdf.queryExecution().optimizedPlan().toString().count("_minute")
-    assert window_count() == 0
-    assert window_count(max_interval_rows=39) > 0
-    assert window_count(max_rows_per_bucket=40) > 0
-    assert window_count(max_rows_per_bucket=41) == 0
+    few = rows.of("seen timestamp, reading int", *[(at(-i), i) for i in range(10)])
+    many = few.unionByName(rows.of("seen timestamp, reading int", *[(None, i) for i in range(200)], *[(at(i + 1), i) for i in range(200)]))
+    plans = []
+    for right in (few, many):
+        joined = asof_join(left, right, "at", "seen", 10)
+        assert rows.back(joined, "reading") == [(0,)]
+        plans.append(joined._jdf.queryExecution().optimizedPlan().toString().count("_minute") > 0)
+    assert plans == [True, True]
 
 
 def test_clashing_names_are_refused(rows):

@@ -2,11 +2,11 @@
 
 Two plans give the same rows:
 
-* ``interval``: every right row becomes the time interval in which it is the latest one. The
-  intervals, cut at bucket borders, are broadcast and the left side is not shuffled at all.
-  Chosen only after the intervals were counted: few enough in all, and few per bucket, so that
-  a left row is compared with a handful of them.
-* ``merge``: for any size and skew. Distinct left times are resolved against right times in
+* ``interval``, if the caller names it (as a streaming left side needs): every right row becomes the
+  time interval in which it is the latest one, cut at bucket borders, and the left side joins by
+  bucket. Spark broadcasts the intervals while they are under its own size threshold. Meant for
+  a right side of modest size, as one window orders its distinct times.
+* ``merge``, the default: for any size and skew. Distinct left times are resolved against right times in
   three levels (minute, day, whole history), so that no window ever holds more than one
   minute of distinct times, one day of minutes or the history's days; then the left side joins
   its resolved times by equality.
@@ -33,37 +33,29 @@ def asof_join(
     tolerance_seconds: int,
     by: Sequence[str] = (),
     tie_break: Sequence[str] = (),
-    strategy: str = "auto",
+    strategy: str = "merge",
     bucket_seconds: int = 3600,
-    max_interval_rows: int = 500_000,
-    max_rows_per_bucket: int = 512,
 ) -> DataFrame:
     """Left rows with the columns of their match, or nulls.
 
     A match holds ``0 <= left_time - right_time <= tolerance`` and, if given, equal ``by``
     columns. Of right rows at one time, the largest by ``tie_break`` and then by the remaining
-    columns counts. ``auto`` counts the intervals first (one small job that stops early on a
-    large right side); ``interval`` and ``merge`` skip that. A streaming left side cannot
-    be merged.
+    columns counts. Either plan runs no job when it is built. A streaming left side cannot be
+    merged and needs ``interval``.
     """
     clash = (set(left.columns) & set(right.columns)) - set(by)
     if clash:
         raise ValueError(f"rename columns on one side first: {sorted(clash)}")
-    if strategy not in ("auto", "interval", "merge"):
-        raise ValueError("strategy is 'auto', 'interval' or 'merge'")
+    if strategy not in ("interval", "merge"):
+        raise ValueError("strategy is 'interval' or 'merge'")
 
     by = list(by)
     tolerance, bucket = tolerance_seconds * _SECOND, bucket_seconds * _SECOND
     readings = _one_row_per_time(right, right_time, by, tie_break)
     output = left.columns + [name for name in right.columns if name not in by]
 
-    if strategy == "auto":
-        small = _intervals_are_few(
-            right, right_time, by, tolerance, bucket, max_interval_rows, max_rows_per_bucket,
-        )
-        strategy = "interval" if small else "merge"
     if strategy == "merge" and left.isStreaming:
-        raise ValueError("a streaming left side needs few right rows or strategy='interval'")
+        raise ValueError("a streaming left side needs strategy='interval'")
     if strategy == "interval":
         joined = _interval_join(left, readings, left_time, by, tolerance, bucket)
     else:
@@ -100,31 +92,6 @@ def _with_interval(
     })
 
 
-def _intervals_are_few(
-    right: DataFrame, right_time: str, by: list[str], tolerance: int, bucket: int,
-    max_rows: int, max_rows_per_bucket: int,
-) -> bool:
-    """Whether the intervals, cut at bucket borders, are few in all and in every bucket.
-
-    One job over at most ``max_rows + 1`` right times: the limit stops a large scan early.
-    Intervals of one key do not overlap, so besides those that start in a bucket at most one
-    reaches into it.
-    """
-    times = right.select(*by, _micros(F.col(right_time)).alias("_r")).limit(max_rows + 1)
-    readings = times.groupBy(*by, "_r").agg(F.count("*").alias("_copies"))
-    cut = _with_interval(readings.where(F.col("_r").isNotNull()), by, tolerance, bucket)
-    rows, pieces, densest = (
-        cut.groupBy(*by, "_first").agg(
-            F.sum("_copies").alias("rows"),
-            F.sum(F.col("_last") - F.col("_first") + 1).alias("pieces"),
-            F.count("*").alias("starting"),
-        ).agg(F.sum("rows"), F.sum("pieces"), F.max("starting")).first()
-    )
-    return rows is None or (
-        rows <= max_rows and pieces <= max_rows and densest < max_rows_per_bucket
-    )
-
-
 def _interval_join(
     left: DataFrame, readings: DataFrame, left_time: str, by: list[str], tolerance: int,
     bucket: int,
@@ -137,7 +104,7 @@ def _interval_join(
         (F.floor(time / bucket) == F.col("_bucket"))
         & (time >= F.col("_r")) & (time < F.col("_end"))
     )
-    return left.join(F.broadcast(intervals), _with_keys(condition, by), "left")
+    return left.join(intervals, _with_keys(condition, by), "left")
 
 
 def _merge_join(

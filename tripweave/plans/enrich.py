@@ -35,7 +35,7 @@ def add_weather(
     trips: DataFrame,
     weather: DataFrame,
     tolerance_seconds: int = WEATHER_TOLERANCE_SECONDS,
-    strategy: str = "auto",
+    strategy: str = "merge",
 ) -> DataFrame:
     """Each trip with the latest weather reading at or before its start, and its ``time``."""
     return asof_join(
@@ -45,7 +45,7 @@ def add_weather(
 
 
 def joined_trips(
-    trips: DataFrame, stations: DataFrame, weather: DataFrame, strategy: str = "auto",
+    trips: DataFrame, stations: DataFrame, weather: DataFrame, strategy: str = "merge",
 ) -> DataFrame:
     """The extended joined table: coordinates, distance and weather per trip."""
     return add_weather(enrich_trips(trips, stations), weather, strategy=strategy)
