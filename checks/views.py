@@ -174,7 +174,7 @@ def haversine(long_a: str, lat_a: str, long_b: str, lat_b: str) -> str:
         f" * cos(radians({lat_b})) * pow(sin((radians({long_b}) - radians({long_a})) / 2), 2)"
     )
     return (
-        f"cast(abs(round_even(2 * asin(sqrt(least(1e0, {chord}))) * {EARTH_RADIUS_KM} * 1000, 0))"
+        f"cast(abs(round_even(2 * asin(sqrt(case when {chord} > 1 then 1e0 else {chord} end)) * {EARTH_RADIUS_KM} * 1000, 0))"
         f" as bigint)"
     )
 

@@ -15,5 +15,6 @@ def haversine_metres(long_a: Column, lat_a: Column, long_b: Column, lat_b: Colum
     sin_long = F.sin((F.radians(long_b) - F.radians(long_a)) / 2)
     chord = sin_lat * sin_lat + F.cos(phi_a) * F.cos(phi_b) * sin_long * sin_long
     # Rounding may push antipodes just above one, where asin is undefined.
-    angle = 2 * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))
+    # ``least`` would turn a missing coordinate into half the earth's girth; here it stays null.
+    angle = 2 * F.asin(F.sqrt(F.when(chord > 1, 1.0).otherwise(chord)))
     return F.abs(F.bround(angle * EARTH_RADIUS_KM * 1000)).cast("bigint")

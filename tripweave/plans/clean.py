@@ -47,8 +47,10 @@ def clean_trips(
     removed: Collection[str] = STATION_CODES_REMOVED,
     carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Typed trips with corrected station codes; rows with any null are dropped."""
-    return raw.select(
+    """Typed trips with corrected station codes; rows with a null in a typed column are dropped.
+
+    Carried columns may be null."""
+    trips = raw.select(
         *carry,
         parse_int(F.col("Duration")).alias("duration"),
         parse_time(F.col("Start date"), TRIP_TIME_FORMAT).alias("start_date"),
@@ -59,7 +61,8 @@ def clean_trips(
         F.col("End station").alias("end_station_name"),
         F.col("Bike number").alias("bike_number"),
         F.col("Member type").alias("member_type"),
-    ).na.drop("any")
+    )
+    return trips.na.drop("any", subset=[c for c in trips.columns if c not in carry])
 
 
 def clean_stations(
