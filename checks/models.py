@@ -53,8 +53,8 @@ _INDEX_SQL = """
 def _indexed_stations(spark, sf_dir):
     """Observed cells with station and class indices and the station vector."""
     observed = views.observed_panel(spark, sf_dir).na.drop("any")
-    index, one_hot, assemble = ml.station_stages()
-    return observed, Pipeline(stages=[index, one_hot]), assemble
+    *encode, assemble = ml.station_stages()
+    return observed, Pipeline(stages=encode), assemble
 
 
 @query(f"select station, cast(station_index as double) as station_index from ({_INDEX_SQL})", "observed")
@@ -93,12 +93,15 @@ def ml_features_city(spark, sf_dir):
 
 @query(f"""
     with_index as (select * from ({_INDEX_SQL})),
-    class_index as (select weather_class, row_number() over (order by count(*) desc, weather_class) - 1
-                    as weather_index from observed where air_temp is not null group by weather_class)
+    closed as (select *, case when weather_class in ('clear', 'cloudy', 'light rain', 'heavy rain', 'snowy', 'icy',
+                    'stormy', 'foggy') then weather_class else 'other' end as weather_known
+               from observed where air_temp is not null),
+    class_index as (select weather_known, row_number() over (order by count(*) desc, weather_known) - 1
+                    as weather_index from closed group by weather_known)
     select o.hour, o.dayofyear, o.station, cast(7 + i.stations as int) as vector_size,
            round(o.hour + o.dayofyear + o.month + o.air_temp + o.wind_speed + o.visibility, 4) as numeric_sum,
            cast(c.weather_index as double) as weather_index, cast(i.station_index as int) as station_at
-    from observed o join with_index i using (station) join class_index c using (weather_class)
+    from closed o join with_index i using (station) join class_index c using (weather_known)
     """.replace("with_index as", ", with_index as", 1), "observed")
 def ml_features_station(spark, sf_dir):
     observed, encode, assemble = _indexed_stations(spark, sf_dir)

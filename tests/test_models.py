@@ -74,3 +74,25 @@ def test_metrics_without_spread_or_rows(rows):
     flat = rows.of("label double, prediction double", (1.0, 2.0), (1.0, 2.0), (None, 1.0))
     assert tuple(ml.regression_metrics(flat).first()) == (2, None, 1.0)
     assert ml.regression_metrics(flat.limit(0)).first().n == 0
+
+
+def test_station_model_takes_free_weather_texts(rows):
+    draw = random.Random(8)
+    cells = [(draw.randrange(24), 5, 1, draw.choice("ab"), 10.0, 5.0, 2.0, f"text {i % 40}", float(i % 3)) for i in range(200)]
+    model = ml.fit_station_model(rows.of(PANEL, *cells), rounds=1)
+    assert ml.score(model, rows.of(PANEL, (1, 5, 1, "a", 10.0, 5.0, 2.0, "never seen", None))).count() == 1
+
+
+def test_mean_encoding_has_one_feature_for_any_number_of_stations(rows):
+    widths = []
+    for stations in (3, 60):
+        cells = [(i % 24, 5, 1, f"s{i % stations}", 10.0, 5.0, 2.0, "clear", float(i % stations)) for i in range(600)]
+        panel = rows.of(PANEL, *cells)
+        model = ml.fit_station_model(panel, rounds=5, encoding="mean")
+        widths.append(ml.score(model, panel).first().features.size)
+        assert ml.regression_metrics(ml.score(model, panel)).first().r2 > 0.9
+        unseen = rows.of(PANEL, (1, 5, 1, "unseen", 10.0, 5.0, 2.0, "clear", None))
+        assert 0 <= ml.score(model, unseen).first().prediction < stations
+    assert widths == [8, 8]
+    with pytest.raises(ValueError):
+        ml.station_stages(encoding="other")

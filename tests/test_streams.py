@@ -125,3 +125,35 @@ def test_scoring_stream_equals_batch_scoring(spark, rows, folders):
     assert metrics.n == 20 and metrics.rmse == pytest.approx(batch_metrics.rmse) and metrics.r2 == pytest.approx(batch_metrics.r2)
     assert [r[0] for r in rows.back(spark.read.parquet(folders["numbers"]), "prediction")] == pytest.approx(
         [r[0] for r in rows.back(expected, "prediction")])
+
+
+def test_two_checkpoints_add_up_in_one_table(spark, folders, tmp_path):
+    deliver(folders, 0, [message(random.Random(3)) for _ in range(20)])
+    for checkpoint in ("a", "a", "b"):  # the second run of "a" finds nothing new
+        summarise(spark, dict(folders, checkpoint=str(tmp_path / checkpoint)))
+    numbers = spark.read.parquet(folders["numbers"])
+    assert numbers.select("run_id").distinct().count() == 2 and numbers.count() == 2 * 5
+    stamps = [spark.read.parquet(path).select("run_id", "timestamp").distinct() for path in
+              (folders["numbers"], folders["categories"], folders["categories"] + "-counts")]
+    assert all(s.count() == 2 and s.exceptAll(stamps[0]).isEmpty() for s in stamps)
+
+
+def test_lists_are_cut_and_counts_are_whole(spark, folders):
+    deliver(folders, 0, [dict(message(random.Random(i)), weather_class=f"text {i:03}", lat_start=38.5) for i in range(50)])
+    summarise(spark, folders, other_cut=7)
+    lists = {r.attribute: r.categories for r in spark.read.parquet(folders["categories"]).collect()}
+    counts = spark.read.parquet(folders["categories"] + "-counts").where("attribute = 'weather_class'")
+    assert lists["weather_class"] == [f"text {i:03}" for i in range(7)] and counts.count() == 50
+
+
+def test_unlabelled_messages_are_predicted_and_the_rest_is_counted(spark, rows, folders):
+    schema = "hour int, dayofyear int, month int, air_temp double, wind_speed double, visibility double, weather_class double, label double"
+    row = lambda hour, label, temp=5.0: (hour, 3, 1, temp, 3.0, 9.0, 1.0, label)
+    model = ml.fit_city_model(rows.of(schema, *[row(h % 24, float(h % 24)) for h in range(96)]), rounds=1)
+    names = [part.split()[0] for part in schema.split(", ")]
+    sent = [row(1, 1.0), row(2, 2.0), row(3, None), row(4, None), row(5, None), row(6, 6.0, None), row(7, None, None)]
+    deliver(folders, 0, [dict(zip(names, values)) for values in sent], broken=["{", "no"])
+    query = start_scoring(text_stream(spark, folders["in"]), model, folders["numbers"], folders["categories"], folders["checkpoint"])
+    assert wait(query, 120)
+    assert [r[0] for r in rows.back(spark.read.parquet(folders["numbers"]), "hour")] == [1, 2, 3, 4, 5]
+    assert tuple(spark.read.parquet(folders["categories"]).select("n", "unlabelled", "corrupt", "incomplete").first()) == (2, 3, 2, 2)

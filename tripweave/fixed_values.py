@@ -51,6 +51,7 @@ WEATHER_CLASS_CODES = {
     "snowy": 4, "icy": 5, "stormy": 6, "foggy": 7,
 }
 OTHER_WEATHER_CODE = 8
+OTHER_WEATHER_CLASS = "other"
 
 # Attributes summarised per micro-batch.
 STREAM_NUMERIC_ATTRIBUTES = ("air_temp", "wind_speed", "visibility", "duration", "abs_distance")

@@ -39,10 +39,11 @@ def fit_city_model(
 
 def fit_station_model(
     train: DataFrame, rounds: int = BOOSTING_ROUNDS, seed: int = 0,
-    columns: ModelColumns = ModelColumns(), cache_node_ids: bool = False,
+    columns: ModelColumns = ModelColumns(), cache_node_ids: bool = False, encoding: str = "one_hot",
 ) -> PipelineModel:
-    """Model of trips per station and hour; rows with any null are left out of training."""
-    return _fit(station_stages(columns), train.na.drop("any"), columns, rounds, seed, cache_node_ids)
+    """Model of trips per station and hour; rows with any null are left out of training.
+    For thousands of stations give ``encoding="mean"`` (see ``station_stages``)."""
+    return _fit(station_stages(columns, encoding), train.na.drop("any"), columns, rounds, seed, cache_node_ids)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -93,24 +94,31 @@ def start_summaries(
     keep: Column | None = None,
     order: str = "asc",
     every_seconds: float | None = None,
+    counts_path: str | None = None,
+    other_cut: int = 1000,
 ) -> StreamingQuery:
     """Add a numeric and a categorical summary of every micro-batch to two Parquet tables.
 
-    Each batch is summarised on its own and stamped with the processing time. Of the start
-    stations the first ``station_cut`` are listed.
+    Each batch is summarised on its own and stamped with the processing time. The count of every
+    category goes to a long table of its own (``counts_path``, by default ``-counts`` after the
+    categorical path). The lists are a report over it: the first ``station_cut`` start stations
+    and the first ``other_cut`` categories of any other attribute.
     """
     keep = message_box() if keep is None else keep
     decoded = decode_messages(messages, TRIP_MESSAGE)
-    cut = {"start_station_id": station_cut}
+    long_path = counts_path or f"{category_path.rstrip('/')}-counts"
+    cut = {name: other_cut for name in STREAM_CATEGORY_ATTRIBUTES} | {"start_station_id": station_cut}
 
     def summarise(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            stamp = F.current_timestamp().alias("timestamp")
+            stamp = F.lit(datetime.now(timezone.utc)).alias("timestamp")  # one for all tables
             numbers = numeric_summary(batch, keep).select("*", stamp)
             write_batch(numbers, numeric_path, batch_id)
             elements = batch.agg(F.count_if(~F.col("is_corrupt")).alias("elements")).scalar()
-            lists = category_lists(category_counts(batch, keep), cut, order)
+            counts = category_counts(batch, keep)
+            write_batch(counts.select("*", stamp), long_path, batch_id)
+            lists = category_lists(counts, cut, order)
             write_batch(
                 lists.select("attribute", stamp, elements.alias("elements"), "categories", "values"),
                 category_path, batch_id,
