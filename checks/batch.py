@@ -66,7 +66,7 @@ def scan_csv(spark, sf_dir):
 def scan_csv_glob(spark, sf_dir):
     folder = shared_folder(spark, "csv-days")
     days = views.raw_trips(spark, sf_dir).withColumn("day", F.substring("End date", 1, 10))
-    days.write.option("header", True).partitionBy("day").csv(folder)
+    days.hint("rebalance", "day").write.option("header", True).partitionBy("day").csv(folder)
     return read_csv(spark, f"{folder}/day=*/*.csv")
 
 

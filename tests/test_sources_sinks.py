@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tripweave import schemas, session
 from tripweave.sinks import json_messages, keyed_json_messages, store, write_batch, write_parquet
-from tripweave.sources import append_rows, kafka_batch, kafka_stream, read_csv, read_parquet
+from tripweave.sources import append_rows, kafka_batch, kafka_stream, read_csv, read_declared, read_parquet
 from tripweave.streaming import decode_messages
 
 
@@ -34,6 +34,14 @@ def test_csv_with_another_header_is_refused(spark, tmp_path):
         read_csv(spark, str(tmp_path)).collect()
 
 
+def test_declared_columns_of_a_wider_file(spark, rows, tmp_path):
+    (tmp_path / "a.csv").write_text("extra,nbEmptyDocks,nbBikes,long,lat,terminalName,name,id\nx,2,1,-77,38,31000,A,7\n")
+    assert rows.back(read_declared(spark, str(tmp_path), schemas.RAW_STATIONS)) == [("7", "A", "31000", "38", "-77", "1", "2")]
+    assert rows.back(read_declared(spark, str(tmp_path), schemas.STATIONS)) == [("7", "A", "31000", 38.0, -77.0, 1, 2)]
+    with pytest.raises(ValueError, match="Duration"):
+        read_declared(spark, str(tmp_path), schemas.RAW_TRIPS)
+
+
 def test_csv_without_comments(spark, rows, tmp_path):
     (tmp_path / "a.csv").write_text("id;name\n#1;A\n")
     assert rows.back(read_csv(spark, str(tmp_path / "a.csv"), separator=";", comment=None)) == [("#1", "A")]

@@ -17,7 +17,8 @@ _text, _int, _long, _double, _time = (
     T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.TimestampType(),
 )
 
-# Columns the cleaning jobs need from the raw files. A file may hold more; they are ignored.
+# Columns the cleaning jobs need from the raw files. A file may hold more: read it with
+# sources.read_declared, which picks these by the header's names.
 RAW_WEATHER = _all_text((
     "Station_ID", "Date_Time", "air_temp_set_1", "wind_speed_set_1", "visibility_set_1",
     "weather_summary_set_1d", "weather_condition_set_1d",

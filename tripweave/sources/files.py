@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -29,6 +30,17 @@ def read_csv(
     return reader.csv(path)
 
 
+def read_declared(spark: SparkSession, path: str | list[str], schema: StructType, **options) -> DataFrame:
+    """The declared columns of CSV files that may hold more, found by the header's names and
+    cast to the declared types; a missing column is an error that names it."""
+    table = read_csv(spark, path, **options)
+    missing = [name for name in schema.names if name not in table.columns]
+    if missing:
+        raise ValueError(f"columns not in the header: {', '.join(missing)}")
+    return table.select(*[
+        F.col(f"`{field.name}`").try_cast(field.dataType).alias(field.name) for field in schema])
+
+
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     """Parquet scan; filters and column selection reach the files through Catalyst."""
     return spark.read.parquet(*paths)
