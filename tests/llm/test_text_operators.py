@@ -165,3 +165,24 @@ def test_html_blocks():
     model = html_text.train(pages[:110], labels[:110], rounds=10)
     found = np.concatenate(html_text.probabilities(model, pages[110:])) >= 0.5
     assert (found == np.concatenate(labels[110:])).mean() > 0.9
+
+
+def test_html_skipped_elements_end():
+    def found(page: str) -> list[str]:
+        return [leaf.text for leaf in html_text.leaves(page)]
+
+    assert found("<html><head><title>t</title><body><article><p>Kept text</p></article>") == ["Kept text"]
+    assert found("<head><meta charset=x><title>t</title><link rel=y><div>One</div><p>Two</p>") == ["One", "Two"]
+    assert found("<head><title>a < b</title><style>p{}</style>\nBare text<p>Two</p>") == ["Bare text", "Two"]
+    assert found("<head><title>t</title><script>1</script></head><body><p>One</p>") == ["One"]
+    assert found("<p>One <svg class='i' /> two</p><p>Three</p><svg><path d='x'/></svg><p>Four</p>") == ["One two", "Three", "Four"]
+    assert found("<p>One</p><svg/><p>Two</p>") == ["One", "Two"]
+    assert found("<svg><text>icon</text></svg><p>Two</p>") == ["Two"]
+    assert found("<svg><path><p>One</p><svg><text>icon</text></svg><p>Two</p>") == ["One", "Two"]
+    assert found("<svg><foreignObject><p>icon</p></foreignObject></svg><p>Two</p>") == ["Two"]
+    for name in ("noscript", "template", "iframe", "svg"):
+        assert found(f"<p>One</p><{name} src='a>b'><p>Two</p>") == ["One", "Two"]
+        assert found(f"<p>One</p><{name}>left out</{name} ><p>Two</p>") == ["One", "Two"]
+    assert found("<header><p>One</p></header><svg-icon>Two</svg-icon>") == ["One", "Two"]
+    assert found("<p>One</p><script>var t = 1;") == found("<p>One</p><!-- x") == found("<p>One</p><style>p") == ["One"]
+    assert len(found("<p>x</p>" + "<svg>" * 50_000 + "<template>" * 50_000)) == 1  # looked for once

@@ -14,8 +14,11 @@ Scale: a map over the pages; the model is a few hundred kilobytes and broadcast.
 length are labelled together in bounded groups; memory is bounded by the longest page.
 
 Defined results: null, empty and tag-free input have the text that stands outside tags, if it is
-labelled as main text, else an empty string; unclosed tags, comments and scripts run to the end of
-the page; repeated rows are labelled alike; an empty table gives an empty table.
+labelled as main text, else an empty string; unclosed tags, comments, scripts and styles run to the
+end of the page. A head ends at its end tag, at the body or at the first tag or text that cannot
+stand in a head; an svg ends at its end tag, at ``/>`` or at the first tag that cannot stand in it;
+of a noscript, template, iframe, title or svg without an end only the tag is left out. Repeated rows
+are labelled alike; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -38,9 +41,19 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike "
     "strong sub sup time tt u var wbr".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+# Elements without text of the page, and those that may stand in a head.
+SKIPPED = frozenset("noscript template svg iframe".split())
+IN_HEAD = frozenset("base basefont bgsound head html link meta".split())
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
+    r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?:[\"'][^>]*+)?)>", re.S | re.I)
+_END_OF = {name: re.compile(rf"</{name}\s*>", re.I) for name in (*SKIPPED, "title")}
+# Where an svg ends at the latest: tags of HTML that break out of it, unless they stand in a foreignObject.
+_SVG_END = re.compile(
+    r"</svg\s*>|<(foreignObject)\b|(?=</?(?:body|p)\b|<(?:article|blockquote|center|dd|div|dl|dt|h[1-6]|hr|img|li|main|menu"
+    r"|nav|ol|pre|section|span|table|ul)[\s/>])", re.I)
+_CLOSED = re.compile(r"(?<!=)/\s*\Z")
+_OPEN_VALUE = re.compile(r"=\s*[^\s\"']+\Z")
 _NAMES = re.compile(r"""\b(class|id|role|data-main)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _PARTS = re.compile(r"[A-Za-z]+")
 PATH_BUCKETS, WORD_BUCKETS, PLAIN = 256, 32, 5
@@ -67,6 +80,20 @@ def leaves(html: str) -> list[Leaf]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     pieces: list[str] = []
     at = link_depth = link_chars = 0
+    in_head, endless = False, set()
+
+    def end_of(name: str, attributes: str) -> int | None:
+        """Where the content of a skipped element ends; None if nothing ends it."""
+        if name == "svg" and _CLOSED.search(attributes) and not _OPEN_VALUE.search(attributes):
+            return at
+        if name in endless:  # looked for once: no end stands further on
+            return None
+        end = _SVG_END.search(html, at) if name == "svg" else None
+        if end is None or end.group(1):
+            end = _END_OF[name].search(html, at)
+        if end is None:
+            endless.add(name)
+        return end and end.end()
 
     def flush() -> None:
         nonlocal link_chars
@@ -77,9 +104,10 @@ def leaves(html: str) -> list[Leaf]:
             out.append(Leaf(path, joined, min(1.0, link_chars / len(joined)), "data-main:main" in path))
         link_chars = 0
 
-    for token in _TOKEN.finditer(html):
+    while token := _TOKEN.search(html, at):
         if token.start() > at:
             text = html[at:token.start()]
+            in_head = in_head and text.isspace()
             pieces.append(text)
             if link_depth:
                 link_chars += len(text)
@@ -88,6 +116,15 @@ def leaves(html: str) -> list[Leaf]:
         if name is None:
             continue
         name, closes = name.lower(), bool(token.group(2))
+        if not closes and (name in SKIPPED or in_head and name == "title"):
+            at = end_of(name, token.group(4)) or at
+            continue
+        if name == "head" and not closes:
+            in_head = True
+            continue
+        if in_head and (name not in ("head", "body", "html") if closes else name in IN_HEAD):
+            continue
+        in_head = False
         if name in INLINE:
             if name == "a":
                 link_depth = max(0, link_depth - 1) if closes else link_depth + 1
