@@ -2,8 +2,8 @@
 
 Every stage works on all rows that its predecessor kept; all but the last return the columns of
 the documents table. Defined results for odd rows are those of each stage's operator: null and
-empty texts fail the quality rules, repeated rows and equal texts leave one row, a row with a null
-doc_id is kept by the near-duplicate stage, and an empty table passes through as an empty table.
+empty texts fail the quality rules, repeated rows and equal texts leave one row, of near copies one
+row stays whatever their doc_ids are, and an empty table passes through as an empty table.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles (similarity 0.75 or more), the smallest doc_id."""
+    """Of documents linked by five-word shingles (similarity 0.75 or more), the row with the smallest doc_id."""
     return shingle_join.keep_one(docs)
 
 

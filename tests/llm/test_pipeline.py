@@ -132,3 +132,22 @@ def test_run_applies_all_stages_in_order(spark, folder, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{empty}/{name}.parquet")
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_near_copies_leave_one_row_whatever_their_ids(spark, folder):
+    near, other = " ".join(f"a{i}" for i in range(80)), " ".join(f"b{i}" for i in range(80))
+    third = " ".join(f"c{i}" for i in range(80))
+    made = [(7, near + " x"), (7, near + " y"), (3, near), (3, near), (7, other), (None, other + " x"), (None, third),
+            (None, third + " x"), (None, third), (9, None), (9, "")]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1, f"{n}", n) for n, (k, t) in enumerate(made)], DOCS).repartition(3)
+    kept = corpus_pipeline.STAGES[3][1](spark, docs, folder)
+    got = kept.collect()
+    assert kept.columns == docs.columns and all(r["_text"] == str(r["a.b"]) for r in got)
+    assert sorted(str(r["doc_id"]) for r in got) == ["3", "7", "9", "9", "None"]
+    assert {r["a.b"] for r in got} - {2, 3, 6, 7, 8} == {4, 9, 10}
+
+
+def test_near_copies_of_repeated_ids_equal_brute_force(spark, folder):
+    texts, docs = corpus(), spark.read.parquet(f"{folder}/documents.parquet")  # doc_id 5 stands there twice
+    kept = corpus_pipeline.STAGES[3][1](spark, docs, folder)
+    assert ids(kept) == sorted(k for k, group in brute_groups(texts).items() if k == group)
