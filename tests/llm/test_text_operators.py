@@ -186,3 +186,13 @@ def test_html_skipped_elements_end():
     assert found("<header><p>One</p></header><svg-icon>Two</svg-icon>") == ["One", "Two"]
     assert found("<p>One</p><script>var t = 1;") == found("<p>One</p><!-- x") == found("<p>One</p><style>p") == ["One"]
     assert len(found("<p>x</p>" + "<svg>" * 50_000 + "<template>" * 50_000)) == 1  # looked for once
+
+
+def test_every_language_is_learned(rows):
+    rng = random.Random(4)
+    words = {f"l{g:02}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)] for g in range(70)}
+    made = [(100 * n + i, " ".join(rng.choices(w, k=40)), g) for n, (g, w) in enumerate(words.items()) for i in range(3)]
+    docs = rows.of("doc_id long, text string, lang string", *made)
+    model = language_id.fit(docs)
+    assert sorted(g for g, _ in model.dictionaries) == sorted(words)
+    assert {(r["doc_id"], r["lang_pred"]) for r in language_id.predict(docs, model).collect()} == {(i, g) for i, _, g in made}
