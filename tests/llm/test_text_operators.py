@@ -196,3 +196,17 @@ def test_every_language_is_learned(rows):
     model = language_id.fit(docs)
     assert sorted(g for g, _ in model.dictionaries) == sorted(words)
     assert {(r["doc_id"], r["lang_pred"]) for r in language_id.predict(docs, model).collect()} == {(i, g) for i, _, g in made}
+
+
+def test_a_hot_id_takes_no_other_place(rows):
+    plain, noisy = "Plain words in a line of prose number", "Some*** noisy### words%%% here&&& number***"
+    made = [(i, f"{plain if i % 2 else noisy} {i}") for i in range(40)]
+    docs = rows.of("doc_id long, text string, lang string", *((i, t, "en") for i, t in made),
+                   *((i, f"{n} copies of one id", "en") for n in range(60) for i in (7, 8)), *((i, t, "de") for i, t in made[:9]))
+    labels = rows.of("doc_id long, quality int", *((i, i % 2) for i, _ in made), *[(7, 1), (8, 0)] * 60)
+    model = quality_classifier.fit(docs, labels, max_labelled=40)
+    assert len(model.labels) == 40 and model.labels.sum() == 20
+    assert len(np.unique(model.vectors.round(4), axis=0)) > 30
+
+    learned = dict(language_id.fit(docs, docs_per_language=40).dictionaries)
+    assert learned["en"].count(b"copies") == 2 and learned["en"].count(b"number") == 38 and learned["de"].count(b"number") == 9

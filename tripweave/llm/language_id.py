@@ -12,9 +12,9 @@ compressed whole, in pieces of ``piece_bytes``, so memory is bounded and the dic
 equally in every piece of a long text. Work grows with the number of languages; at most four blocks
 of ``_BLOCK`` prepared dictionaries are held at a time.
 
-Defined results: a null text and a text with no letter are ``und`` with score 0; equal sizes go to
-the language with more training documents, then to the smaller name; with nothing to learn from,
-every text is ``und``; repeated rows are judged alike; an empty table gives an empty table.
+Defined results: of a repeated doc_id the smallest text of a language is learned; a null text and a
+text with no letter are ``und`` with score 0; equal sizes go to the language with more training
+documents, then to the smaller name; with nothing to learn from, every text is ``und``; repeated rows are judged alike; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -59,10 +59,11 @@ def fit(
     sizes = rows.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").collect()
     by_hash = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
     chosen = (
-        rows.select("_id", "_lang").withColumn("_n", F.row_number().over(by_hash))
-        .where(F.col("_n") <= docs_per_language).drop("_n").distinct())
+        rows.select("_id", "_lang").distinct().withColumn("_n", F.row_number().over(by_hash))
+        .where(F.col("_n") <= docs_per_language).drop("_n"))
     # At most docs_per_language ids of each language: a small table for the broadcast.
-    sampled = rows.join(F.broadcast(chosen), ["_id", "_lang"]).select(
+    # A repeated id gives one text, the smallest, so that it takes no other id's place.
+    sampled = rows.join(F.broadcast(chosen), ["_id", "_lang"]).groupBy("_id", "_lang").agg(F.min("_text").alias("_text")).select(
         "_lang", F.xxhash64("_id").alias("_hash"), F.col("_id").cast("string").alias("_id"), "_text")
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,8 @@ to all of them by exact cosine products, block by block, and the labels of the n
 neighbours vote with their similarity as weight.
 
 Bounds: at most ``max_labelled`` labelled rows, those with the smallest hash of doc_id and up to
-half of them per label, are collected to the driver and broadcast (64 numbers each). Scoring is
+half of them per label, are collected to the driver and broadcast (64 numbers each); of a repeated
+doc_id the smallest text is taken. Scoring is
 a map over the documents with bounded slices; no shuffle.
 
 Defined results: null and empty texts have no terms and get the share of label 1 among the
@@ -123,13 +124,15 @@ def fit(
 ) -> QualityModel:
     """Model of a bounded sample of the labelled rows given."""
     known = labels.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{label}`").alias("_label")).where(
-        F.col("_id").isNotNull() & F.col("_label").isin(0, 1))
+        F.col("_id").isNotNull() & F.col("_label").isin(0, 1)).distinct()
     parts = [known.where(F.col("_label") == value).orderBy(F.xxhash64("_id"), "_id").limit(max_labelled // 2) for value in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
     rows = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
-    # The chosen rows number max_labelled at most, a proven bound for the broadcast and the collect.
+    # The chosen rows number max_labelled at most, a proven bound for the broadcast and the collect:
+    # of a repeated id one text is taken, so that its copies take no other id's place.
     sample = (
-        rows.join(F.broadcast(chosen), "_id").orderBy(F.xxhash64("_id"), "_id", "_text").limit(max_labelled).collect())
+        rows.join(F.broadcast(chosen), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
+        .orderBy(F.xxhash64("_id"), "_id", "_label").collect())
     return fit_rows([r["_text"] or "" for r in sample], [r["_label"] for r in sample])
 
 
