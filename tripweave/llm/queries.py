@@ -46,7 +46,7 @@ URL_RULES = [
 @query()
 def op1_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    model = url_filter.fit(url_filter.SEED_URLS + url_filter.weakly_labelled(pages))
+    model = url_filter.fit(url_filter.SEED_URLS + url_filter.weakly_labelled(pages, table(spark, sf_dir, "labels")))
     return url_filter.judge(pages, model, URL_RULES)
 
 

@@ -130,13 +130,38 @@ def score(url: str | None, model: UrlModel) -> float:
     return float(1 / (1 + np.exp(-margin)))
 
 
-def weakly_labelled(pages: DataFrame, url: str = "url", max_labelled: int = 4_000) -> list[tuple[str, int]]:
+def weakly_labelled(
+    pages: DataFrame, labels: DataFrame, url: str = "url", doc_id: str = "doc_id", max_labelled: int = 4_000,
+    least_blocked: int = 5,
+) -> list[tuple[str, int]]:
     """A small labelled table from a page table: at most ``max_labelled`` distinct hosts with one
-    url each, labelled by the words of the host; half of the bound for each label, by hash."""
-    hosts = (
+    url each, half of the bound for each label, by hash.
+
+    A host is unwanted by its words, or if at least half of the labelled documents that its pages show,
+    ``least_blocked`` or more, are toxic or of low quality. It is wanted if less than half of them are. All
+    other hosts are unknown and left out. A page's document is the one whose doc_id is the last number
+    of its url's path; a document with several labels counts as its worst.
+    """
+    shown = (
         pages.select(F.col(f"`{url}`").alias("_url")).where(F.col("_url").contains("://"))
-        .groupBy(host_of(F.col("_url")).alias("_host")).agg(F.min("_url").alias("_url"))
-        .withColumn("_label", F.col("_host").rlike("|".join(UNWANTED_WORDS)).cast("int")))
+        .groupBy(
+            host_of(F.col("_url")).alias("_host"),
+            F.expr(r"try_cast(regexp_extract(split(_url, '[?#]')[0], '([0-9]+)[^0-9]*$', 1) as bigint)").alias("_doc"))
+        .agg(F.min("_url").alias("_url")))
+    known = (
+        labels.select(F.col(f"`{doc_id}`").cast("long").alias("_doc"),
+                      F.when((F.col("toxic") == 1) | (F.col("quality") == 0), 1)
+                      .when(F.col("toxic").isNotNull() | F.col("quality").isNotNull(), 0).alias("_bad"))
+        .where(F.col("_doc").isNotNull() & F.col("_bad").isNotNull()).groupBy("_doc").agg(F.max("_bad").alias("_bad")))
+    evidence = (
+        shown.where(F.col("_doc").isNotNull()).join(known, "_doc")
+        .groupBy("_host").agg(F.count(F.lit(1)).alias("_n"), F.sum("_bad").alias("_bad")))
+    mostly_bad = 2 * F.col("_bad") >= F.col("_n")
+    hosts = (
+        shown.groupBy("_host").agg(F.min("_url").alias("_url")).join(evidence, "_host", "left")
+        .withColumn("_label", F.when(F.col("_host").rlike("|".join(UNWANTED_WORDS)), 1)
+                    .when(mostly_bad & (F.col("_bad") >= least_blocked), 1).when(~mostly_bad, 0))
+        .where(F.col("_label").isNotNull()))
     half = max_labelled // 2
     parts = [hosts.where(F.col("_label") == label).orderBy(F.xxhash64("_host")).limit(half) for label in (0, 1)]
     return [(r["_url"], r["_label"]) for part in parts for r in part.collect()]
