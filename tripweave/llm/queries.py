@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tripweave.llm import (
-    bpe, exact_dedup, html_text, language_id, packing, quality_classifier, quality_rules, sharding,
+    bpe, exact_dedup, html_text, language_id, merkle, packing, quality_classifier, quality_rules, sharding,
     shingle_join, url_filter,
 )
 
@@ -119,6 +119,55 @@ def op10_html_blocks(spark, sf_dir):
     return html_text.extract(pages, html_text.fit(pages, table(spark, sf_dir, "documents")))
 
 
+@query(r"""
+    with recursive crc as (
+        select list(list_reduce([k, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) order by k) as t
+        from range(256) r(k)),
+    d as (
+        select doc_id, source, sha256(f || case when text is null then '-' else strlen(text) || ':' || text end) as leaf,
+            case when xor(list_reduce(list_prepend(4294967295, list_transform(string_split(cast(doc_id as varchar), ''), lambda x: cast(ascii(x) as bigint))),
+                    lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) % 5 = 0
+                then sha256(f || case when text is null then '-' else strlen(text) || ':' ||
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') end) end as changed
+        from (select *, (case when doc_id is null then '-' else strlen(cast(doc_id as varchar)) || ':' || doc_id end)
+                || (case when source is null then '-' else strlen(source) || ':' || source end)
+                || (case when lang is null then '-' else strlen(lang) || ':' || lang end)
+                || (case when n_chars is null then '-' else strlen(cast(n_chars as varchar)) || ':' || n_chars end) as f from documents), crc),
+    placed as (
+        select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by source) as n from d),
+    up(source, lvl, pos, node, n) as (
+        select source, 0, pos, leaf, n from placed
+        union all
+        select source, lvl + 1, pos // 16, sha256(string_agg(node, '' order by pos)), (any_value(n) + 15) // 16
+        from up where n > 1 group by source, lvl, pos // 16),
+    sub as (
+        select source, lvl, node, row_number() over (order by source nulls first) - 1 as pos, count(*) over () as n from up where n = 1),
+    top(lvl, pos, node, n) as (
+        select 0, pos, node, n from sub
+        union all
+        select lvl + 1, pos // 16, sha256(string_agg(node, '' order by pos)), (any_value(n) + 15) // 16 from top where n > 1 group by lvl, pos // 16),
+    tree as (
+        select source, lvl, pos, node, n from up where n > 1
+        union all
+        select s.source, s.lvl + t.lvl, t.pos, t.node, t.n from sub s, top t where t.n > 1),
+    step(doc_id, leaf, source, lvl, pos, node, siblings) as (
+        select doc_id, leaf, source, 0, pos, coalesce(changed, leaf), '' from placed
+        union all
+        select f.doc_id, f.leaf, f.source, f.lvl + 1, f.pos // 16,
+            sha256(string_agg(case when t.pos = f.pos then f.node else t.node end, '' order by t.pos)),
+            any_value(f.siblings) || coalesce(string_agg(case when t.pos <> f.pos then t.node end, '' order by t.pos), '')
+        from (select p.doc_id, p.leaf, p.source, p.lvl, case when p.lvl = z.lvl then z.pos else p.pos end as pos, p.node, p.siblings
+              from step p join sub z on z.source is not distinct from p.source) f
+        join sub s on s.source is not distinct from f.source
+        join tree t on t.source is not distinct from f.source and t.lvl = f.lvl and t.pos // 16 = f.pos // 16
+        group by f.doc_id, f.leaf, f.source, f.lvl, f.pos),
+    last as (select doc_id, source, leaf, max_by(node, lvl) as node, max_by(siblings, lvl) as siblings from step group by all)
+    select l.doc_id, l.leaf, s.node as subroot, r.node as root, sha256(l.siblings) as proof_sha256, l.node as folded_root, l.node = r.node as verified
+    from last l join sub s on s.source is not distinct from l.source, (select node from top where n = 1) r""")
+def op11_merkle_manifest(spark, sf_dir):
+    return merkle.verify(table(spark, sf_dir, "documents"), F.coalesce(id_remainder(5) == 0, F.lit(False)))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
