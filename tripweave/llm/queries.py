@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tripweave.llm import (
-    bpe, exact_dedup, html_text, language_id, merkle, packing, quality_classifier, quality_rules, sharding,
+    bpe, exact_dedup, html_text, language_id, merkle, packing, phrases, quality_classifier, quality_rules, sharding,
     shingle_join, url_filter,
 )
 
@@ -168,6 +168,39 @@ def op11_merkle_manifest(spark, sf_dir):
     return merkle.verify(table(spark, sf_dir, "documents"), F.coalesce(id_remainder(5) == 0, F.lit(False)))
 
 
+@query(r"""
+    with t as (
+        select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) as piece from documents),
+    v as (select row_number() over () as id, lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') as v from t),
+    w as (select id, lang, unnest(v) as p1, unnest(range(len(v))) as i from v),
+    p as (
+        select lang, p1, p1 || ' ' || lead(p1) over s as p2, p1 || ' ' || lead(p1) over s || ' ' || lead(p1, 2) over s as p3,
+            p1 || ' ' || lead(p1) over s || ' ' || lead(p1, 2) over s || ' ' || lead(p1, 3) over s as p4
+        from w window s as (partition by id order by i)),
+    g as (
+        select lang, 1 as k, p1 as phrase from p union all select lang, 2, p2 from p where p2 is not null
+        union all select lang, 3, p3 from p where p3 is not null union all select lang, 4, p4 from p where p4 is not null),
+    f as (select lang, k, phrase, count(*) as f from g group by all having count(*) >= 30),
+    total as (select lang, count(*) as n from w group by lang),
+    c as (select lang, k, phrase, f as a, string_split(phrase, ' ') as v from f where k > 1),
+    cut as (
+        select c.lang, c.phrase, c.a, c.k, i, l.f as l, r.f as r, cast(2000000 * cast(a as hugeint) // (l.f + r.f) as bigint) as score
+        from c, range(1, 4) s(i), f l, f r
+        where i < c.k and l.lang = c.lang and l.phrase = array_to_string(v[1:i], ' ') and r.lang = c.lang and r.phrase = array_to_string(v[i + 1:], ' ')),
+    best as (select * from cut qualify row_number() over (partition by lang, phrase order by score, i) = 1),
+    inner_ as (
+        select lang, array_to_string(v[i:i + n - 1], ' ') as phrase, max(a) as longer
+        from c, range(1, 4) s(i), range(2, 4) z(n) where n < k and i + n - 1 <= k group by all),
+    kept as (
+        select b.*, cast(row_number() over (partition by b.lang order by score desc, a desc, encode(b.phrase)) as bigint) as rank
+        from best b left join inner_ n on n.lang = b.lang and n.phrase = b.phrase
+        where n.longer is null or 100 * cast(n.longer as hugeint) < 80 * cast(a as hugeint))
+    select kept.lang, rank, phrase, a, l, r, cast(n as bigint) as n, score from kept join total on total.lang = kept.lang where rank <= 2000""")
+def op12_phrase_collocations(spark, sf_dir):
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -44,12 +44,13 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[where[0]:where[-1]], where - where[0]
 
 
-def word_spans(data: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and past-the-end byte and row of every word ``[^\\x20\\x09-\\x0D]+``, in order."""
+def word_spans(data: np.ndarray, where: np.ndarray, blank: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and past-the-end byte and row of every word, in order: runs of bytes outside ``blank``
+    (by default words ``[^\\x20\\x09-\\x0D]+``)."""
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, none
-    inside = ~_SPACE[data]
+    inside = ~blank[data]
     first = np.ones(len(data) + 1, bool)
     first[1:-1] = ~inside[:-1]
     first[where] = True  # a row's first byte begins a word of its own
@@ -77,6 +78,29 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def lower(data: np.ndarray) -> np.ndarray:
+    return _LOWER[data]
+
+
+def word_ids(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Number of each word among the distinct ones (by their bytes), the distinct words' 64-bit hashes, and all
+    words as one buffer, each followed by a space, with their offsets there."""
+    lengths = ends - starts + 1
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    spaced = np.append(data, 0)[np.arange(offsets[-1]) - np.repeat(offsets[:-1] - starts, lengths)].astype(np.uint8)
+    spaced[offsets[1:] - 1] = 0x20
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(spaced)])
+    coded = words.dictionary_encode()
+    distinct, at = raw_binary(coded.dictionary)
+    return np.asarray(coded.indices), word_hashes(distinct, at[:-1], at[1:] - 1), spaced, offsets
+
+
+def raw_binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    _, offsets, data = column.buffers()
+    where = np.frombuffer(offsets, np.int32, len(column) + 1, column.offset * 4).astype(np.int64)
+    return (np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)), where
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the words with A-Z lower-cased, from one prefix sum over the bytes."""
     if not len(starts):
