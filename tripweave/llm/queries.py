@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tripweave.llm import (
-    bpe, exact_dedup, html_text, language_id, merkle, packing, phrases, quality_classifier, quality_rules, sharding,
+    bpe, exact_dedup, html_text, katz, language_id, merkle, packing, phrases, quality_classifier, quality_rules, sharding,
     shingle_join, url_filter,
 )
 
@@ -201,6 +201,12 @@ def op12_phrase_collocations(spark, sf_dir):
     return phrases.mine(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op13_katz_scoring(spark, sf_dir):
+    scored = katz.score(table(spark, sf_dir, "documents"), id_remainder(10) != 0)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
