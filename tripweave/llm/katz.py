@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from tripweave.llm.text_bytes import lower, mixed, raw, slices, word_ids, word_spans
 from tripweave.session import shared_folder
 
-BATCH_BYTES = 12_000_000
+BATCH_BYTES = 9_000_000
 RANGE_BYTES = 16_000_000
 _LARGEST = 5  # counts above are not discounted
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -203,8 +203,8 @@ class Tokens:
         n_before = np.array([len(b) for b in before])
         n_words = np.bincount(row, minlength=n_rows)
         self.bounds = np.concatenate([[0], np.cumsum(n_before + n_words + last)])
-        self.row = np.repeat(np.arange(n_rows), np.diff(self.bounds))
-        place = np.arange(self.bounds[-1]) - self.bounds[:-1][self.row]
+        self.row = np.repeat(np.arange(n_rows, dtype=np.int32), np.diff(self.bounds))
+        place = np.arange(self.bounds[-1], dtype=np.int32) - self.bounds[:-1].astype(np.int32)[self.row]
         self.is_token = place >= n_before[self.row]
         is_end = np.zeros(len(self.row), bool)
         is_end[self.bounds[1:][last] - 1] = True
@@ -224,12 +224,12 @@ class Tokens:
                 usable = usable & (place >= n - 1)
                 key = mixed(np.concatenate([[np.uint64(0)], key[:-1]]) * _STEP + symbols)
             self.keys.append(key)
-            at = np.flatnonzero(usable)
+            at = np.flatnonzero(usable).astype(np.int32)
             distinct, one, number = np.unique(key[at], return_index=True, return_inverse=True)
             self.at.append(at)
             self.distinct.append(distinct)
-            self.number.append(number)
-            self.one.append(one)
+            self.number.append(number.astype(np.int32))
+            self.one.append(one.astype(np.int32))
 
     def train_counts(self, level: int) -> np.ndarray:
         at = self.at[level]

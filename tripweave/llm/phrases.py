@@ -36,7 +36,7 @@ from tripweave.llm.text_bytes import lower, mixed, raw, slices, word_ids, word_s
 from tripweave.sinks.files import store
 
 MOST_WORDS = 4
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 4_000_000
 MOST_BITS = 27
 _KEY_BITS = 32  # of an n-gram's hash inside its partition
 _STEP = np.uint64(0x9E3779B97F4A7C15)

@@ -85,9 +85,16 @@ def lower(data: np.ndarray) -> np.ndarray:
 def word_ids(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Number of each word among the distinct ones (by their bytes), the distinct words' 64-bit hashes, and all
     words as one buffer, each followed by a space, with their offsets there."""
-    lengths = ends - starts + 1
-    offsets = np.concatenate([[0], np.cumsum(lengths)])
-    spaced = np.append(data, 0)[np.arange(offsets[-1]) - np.repeat(offsets[:-1] - starts, lengths)].astype(np.uint8)
+    touching = np.append(starts[1:] == ends[:-1], ends[-1:] == len(data))[:len(starts)]
+    if touching.any():  # a row's last word, without a byte between it and the next row's first
+        shift = np.cumsum(touching)
+        data = np.insert(data, ends[touching], 0x20)
+        starts, ends = starts + shift - touching, ends + shift - touching
+    kept = np.zeros(len(data) + 1, np.int8)
+    kept[starts] = 1
+    np.subtract.at(kept, ends + 1, 1)  # with the byte behind each word
+    spaced = data[np.cumsum(kept[:-1], dtype=np.int8).view(bool)]
+    offsets = np.concatenate([[0], np.cumsum(ends - starts + 1)])
     spaced[offsets[1:] - 1] = 0x20
     words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(spaced)])
     coded = words.dictionary_encode()
