@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from tripweave.llm.text_bytes import lower, mixed, raw, slices, word_ids, word_spans
 from tripweave.session import shared_folder
 
-BATCH_BYTES = 9_000_000
+BATCH_BYTES = 8_000_000
 RANGE_BYTES = 16_000_000
 _LARGEST = 5  # counts above are not discounted
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -186,33 +186,39 @@ def prepare(docs: DataFrame, train: Column, order: int, doc_id: str, text: str)
     return prepared, int(prepared.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0)
 
 
+def _symbols(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all symbols of a batch, the rows' bounds, which are tokens, and which rows train."""
+    column = table.column("text").combine_chunks()
+    data, where = raw(column.chunk(0) if isinstance(column, pa.ChunkedArray) else column)
+    data = lower(data)
+    first, end, row = word_spans(data, where)
+    ids, hashes, _, _ = word_ids(data, first, end)
+    n_words = np.bincount(row, minlength=table.num_rows)
+    del data, first, end, row
+    before = [np.frombuffer(b, np.uint64) for b in table.column("before").to_pylist()]
+    last = np.array(table.column("last").to_pylist(), bool)
+    n_before = np.array([len(b) for b in before])
+    bounds = np.concatenate([[0], np.cumsum(n_before + n_words + last)])
+    is_token = np.ones(bounds[-1], bool)
+    for n in range(int(n_before.max())):
+        is_token[bounds[:-1][n_before > n] + n] = False
+    is_end = np.zeros(bounds[-1], bool)
+    is_end[bounds[1:][last] - 1] = True
+    symbols = np.empty(bounds[-1], np.uint64)
+    symbols[~is_token] = np.concatenate(before)
+    if len(ids):
+        symbols[is_token & ~is_end] = hashes[ids]
+    symbols[is_end] = _END
+    return symbols, bounds, is_token, np.array(table.column("train").to_pylist(), bool)
+
+
 class Tokens:
     """All symbols of a batch: what stands before each text, its words and its end."""
 
     def __init__(self, table: pa.Table, order: int):
-        table = table.combine_chunks()
-        column = table.column("text")
-        data, where = raw(column.chunk(0) if column.num_chunks else pa.array([], pa.string()))
-        data = lower(data)
-        first, end, row = word_spans(data, where)
-        ids, hashes, _, _ = word_ids(data, first, end)
-        words = hashes[ids] if len(ids) else np.zeros(0, np.uint64)
-        n_rows = table.num_rows
-        before = [np.frombuffer(b, np.uint64) for b in table.column("before").to_pylist()]
-        last = np.array(table.column("last").to_pylist(), bool)
-        n_before = np.array([len(b) for b in before])
-        n_words = np.bincount(row, minlength=n_rows)
-        self.bounds = np.concatenate([[0], np.cumsum(n_before + n_words + last)])
-        self.row = np.repeat(np.arange(n_rows, dtype=np.int32), np.diff(self.bounds))
-        place = np.arange(self.bounds[-1], dtype=np.int32) - self.bounds[:-1].astype(np.int32)[self.row]
-        self.is_token = place >= n_before[self.row]
-        is_end = np.zeros(len(self.row), bool)
-        is_end[self.bounds[1:][last] - 1] = True
-        symbols = np.empty(len(self.row), np.uint64)
-        symbols[~self.is_token] = np.concatenate(before) if before else np.zeros(0, np.uint64)
-        symbols[self.is_token & ~is_end] = words
-        symbols[is_end] = _END
-        train = np.array(table.column("train").to_pylist(), bool)
+        symbols, self.bounds, self.is_token, train = _symbols(table)
+        self.row = np.repeat(np.arange(table.num_rows, dtype=np.int32), np.diff(self.bounds))
+        place = np.arange(len(symbols), dtype=np.int32) - self.bounds[:-1].astype(np.int32)[self.row]
         self.trains = self.is_token & train[self.row]
         self.is_begin = symbols == _BEGIN
         # the n-grams of each order: the symbol each ends at, hash, number among the distinct hashes
@@ -258,6 +264,13 @@ class Evaluation:
             self.weights.append(joined([_values(columns["counts"][i], np.float64) for i in rows], np.float64))
             self.raised.append(joined([_marks(columns["marks"][i], columns["size"][i]) for i in rows], bool))
 
+    def lacking(self, level: int) -> np.ndarray:
+        """The distinct histories after which a token of this batch was not seen, so that it needs their weight."""
+        at, key, seen, distinct = self.histories(level)
+        marks = np.zeros(len(distinct), bool)
+        marks[np.searchsorted(distinct, key[(seen > 0) & (self.counts[level][at] == 0)])] = True
+        return marks
+
     def histories(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of the tokens that an n-gram of this level ends at: where, the history's hash, its training count, and
         the distinct hashes of those that trained."""
@@ -278,8 +291,10 @@ class Evaluation:
             counts = self.counts[n][at]
             known = seen > 0
             place = np.searchsorted(distinct, key[known])
+            weights = np.zeros(len(distinct))
+            weights[self.lacking(n)] = self.weights[n]
             weight, total = np.ones(len(at)), seen.astype(float)
-            weight[known] = self.weights[n][place]
+            weight[known] = weights[place]
             total[known] += self.raised[n][place]
             of = model.levels[n].discounted(counts) / np.maximum(total, 1)
             p[at] = np.where(counts > 0, of, weight * p[at])
@@ -302,7 +317,7 @@ class Evaluation:
 
 _ANSWER = "kind string, level int, range int, batch long, size int, counts binary, marks binary"
 _TABLE = ", keys binary, total long, n_of array<long>, spare double"
-_LIST = "level int, range int, batch long, keys binary, counts binary, given binary, spare binary"
+_LIST = "level int, range int, batch long, keys binary, counts binary, given binary, spare binary, marks binary"
 
 
 def _ranges(ordered: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
@@ -356,16 +371,17 @@ def _weigh_range(lists: pa.Table) -> pa.Table:
     raised = spare <= 0
     weight = np.where(raised, 1.0, spare) / (count + raised) / (1.0 - given)
     rows = [{"kind": "table", "level": level, "range": number, "size": len(distinct), "keys": _packed(distinct), "counts": _planes(weight), "marks": _bits(raised)}]
-    for batch, a, b in zip(batches, bounds, bounds[1:]):
+    for batch, a, b, lacking in zip(batches, bounds, bounds[1:], lists.column("marks").to_pylist()):
+        own = place[a:b]
         rows.append({"kind": "histories", "level": level, "range": number, "batch": batch, "size": int(b - a),
-                     "counts": _planes(weight[place[a:b]]), "marks": _bits(raised[place[a:b]])})
+                     "counts": _planes(weight[own[_marks(lacking, b - a)]]), "marks": _bits(raised[own])})
     return _frame(rows, _ANSWER + _TABLE)
 
 
 def _kept(rows: DataFrame, purpose: str) -> DataFrame:
     """Written to the shared folder, partitioned by kind: tables apart from answers."""
     path = shared_folder(rows.sparkSession, purpose)
-    rows.write.partitionBy("kind", "level").parquet(path)
+    rows.write.partitionBy("kind", "level").option("compression", "zstd").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
@@ -414,11 +430,13 @@ def score(docs: DataFrame, train: Column, order: int = 2, doc_id: str = "doc_id"
 
     def summed(level: int):
         def of(batch: pa.Table, replies: pa.Table) -> pa.Table:
-            distinct, given, spare, total = Evaluation(Tokens(batch, order), replies, model).sums(level)
+            held = Evaluation(Tokens(batch, order), replies, model)
+            distinct, given, spare, total = held.sums(level)
+            lacking = held.lacking(level)
             number = batch.column("batch")[0].as_py()
             return _frame([
                 {"level": level, "range": i, "batch": number, "keys": _packed(distinct[own]), "given": _planes(given[own]),
-                 "spare": _planes(spare[own]), "counts": _planes(total[own])} for i, own in _ranges(distinct, bits)], _LIST)
+                 "spare": _planes(spare[own]), "counts": _planes(total[own]), "marks": _bits(lacking[own])} for i, own in _ranges(distinct, bits)], _LIST)
         return of
 
     for level in range(1, order):

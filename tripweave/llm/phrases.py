@@ -2,9 +2,9 @@
 
 1. Every n-gram of 1 to 4 words inside a piece of text is hashed (its language included); the leading bits
    name its hash partition. A first pass counts the occurrences (the mass) of each partition.
-2. Each batch of texts sends one Misra-Gries summary per partition, and a partition merges what it
+2. Each task sends Misra-Gries summaries of what it has gathered, one per partition, and a partition merges what it
    receives. The capacity of a partition's summaries exceeds its mass divided by the threshold, so
-   all that is taken off on the way, in batches and merges together, is below the threshold: an n-gram
+   all that is taken off on the way, in tasks and merges together, is below the threshold: an n-gram
    that occurs that often is always left. Two n-grams that share a hash only keep each other.
 3. A second pass counts the surviving n-grams exactly, by their words and not by hash, and the rest is SQL over
    that small table: parts of each cut, the lowest-scoring cut, longer phrases, ranks.
@@ -12,7 +12,7 @@
 Scale: a partition's merge streams and holds its capacity and one buffer. The survivors reach the
 second pass as a bitmap of at most ``2 ** MOST_BITS`` bits (16 MB), whatever the corpus: beyond some 30 million
 survivors more n-grams pass it by chance and are counted, and results stay the same. A frequent
-n-gram or language collapses in the batches, before any shuffle; ranks are taken in 64 slices per
+n-gram or language collapses in the tasks, before any shuffle; ranks are taken in 64 slices per
 language first.
 
 Defined results: a null or empty text has no words; a null language is ``und`` and shares its table with
@@ -36,7 +36,8 @@ from tripweave.llm.text_bytes import lower, mixed, raw, slices, word_ids, word_s
 from tripweave.sinks.files import store
 
 MOST_WORDS = 4
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
+SUMMARY_ENTRIES = 2_000_000  # that a task gathers before it sends summaries; more where executors are larger
 MOST_BITS = 27
 _KEY_BITS = 32  # of an n-gram's hash inside its partition
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -157,8 +158,8 @@ def _values(planes: bytes) -> np.ndarray:
 
 
 def partition_bits(total_bytes: int) -> int:
-    """Partitions, as a power of two: one for every 16 MB of text, up to 65,536."""
-    return min(16, max(0, total_bytes // 16_000_000).bit_length())
+    """Partitions, as a power of two: one for every 4 to 8 MB of text, up to 16,384."""
+    return min(14, max(0, total_bytes // 8_000_000).bit_length())
 
 
 def survivors(texts: DataFrame, threshold: int, most_words: int) -> tuple[np.ndarray, int, DataFrame]:
@@ -184,22 +185,34 @@ def survivors(texts: DataFrame, threshold: int, most_words: int) -> tuple[np.nda
     masses = {r["part"]: r["n"] for r in weights.where(F.col("part") >= 0).collect()}  # one number per hash partition
 
     def summarised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, held = [], 0
         for chunk in chunks(batches, most_words):
             keys = np.sort(np.concatenate(chunk.hashes) >> shift)
             first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-            counts = np.diff(np.append(first, len(keys)))
-            keys = keys[first]
-            cuts = np.searchsorted(keys, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(_KEY_BITS))
-            rows = []
-            for part in np.flatnonzero(np.diff(cuts)).tolist():
-                own = slice(cuts[part], cuts[part + 1])
-                entry, count, off = reduced(keys[own].astype(np.uint32), counts[own], capacity(masses[part], threshold))
-                rows.append((part, _planes(np.diff(entry, prepend=np.uint32(0))), _planes(count), off))
-            for at in range(0, len(rows), 64):
-                some = list(zip(*rows[at:at + 64]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some[0], pa.int32()), pa.array(some[1], pa.binary()), pa.array(some[2], pa.binary()), pa.array(some[3], pa.int64())],
-                    names=["part", "keys", "counts", "off"])
+            waiting.append((keys[first], np.diff(np.append(first, len(keys)))))
+            held += len(first)
+            del chunk, keys, first
+            if held > SUMMARY_ENTRIES:
+                yield from sent(waiting)
+                waiting, held = [], 0
+        yield from sent(waiting)
+
+    def sent(waiting: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        if not waiting:
+            return
+        keys, counts = summed(np.concatenate([k for k, _ in waiting]), np.concatenate([c for _, c in waiting]))
+        waiting.clear()
+        cuts = np.searchsorted(keys, np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(_KEY_BITS))
+        rows = []
+        for part in np.flatnonzero(np.diff(cuts)).tolist():
+            own = slice(cuts[part], cuts[part + 1])
+            entry, count, off = reduced(keys[own].astype(np.uint32), counts[own], capacity(masses[part], threshold))
+            rows.append((part, _planes(np.diff(entry, prepend=np.uint32(0))), _planes(count), off))
+        for at in range(0, len(rows), 64):
+            some = list(zip(*rows[at:at + 64]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some[0], pa.int32()), pa.array(some[1], pa.binary()), pa.array(some[2], pa.binary()), pa.array(some[3], pa.int64())],
+                names=["part", "keys", "counts", "off"])
 
     # About 16 bits for every n-gram that can be frequent, at most 16 MB in all.
     map_bits = max(bits, min(MOST_BITS, max(16, (16 * sum(masses.values()) // threshold).bit_length())))
