@@ -8,9 +8,10 @@ themselves, no digest takes part.
 
 Scale: a round counts its groups with map-side combining and joins the counts back, so a group of
 any size is one row in the count and Spark may split the hot key of the join. Chunks widen by
-eight, so even a text of a gigabyte needs about ten rounds, and only documents that still share
-their whole prefix with another one carry their remaining bytes into the next round. Each round's
-groups and remaining rows are written to the shared folder, which cuts the lineage.
+eight, so even a text of a gigabyte needs about ten rounds. A row is its key (file and index in it):
+the first round moves the keys with 64 bytes, and only documents that still share their whole prefix with
+another one bring their remaining bytes. Each round's groups and remaining rows are written to the
+shared folder, which cuts the lineage.
 
 Defined results: a null text counts as an empty one; empty texts are equal to each other; of
 equal texts the row with the largest doc_id stays (null is smallest); of repeated rows with that
@@ -25,6 +26,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripweave.llm import row_keys
+from tripweave.llm.row_keys import KEY
 from tripweave.sinks.files import store
 
 FIRST_CHUNK_BYTES = 64
@@ -32,54 +35,50 @@ CHUNK_GROWTH = 8
 WIDEST_CHUNK_BYTES = 1 << 20
 
 
-def _ended(rest: Column, width: int) -> Column:
-    return F.octet_length(rest) <= width
+def _content(text: str) -> Column:
+    return F.encode(F.coalesce(F.col(f"`{text}`"), F.lit("")), "UTF-8")
 
 
-def find_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
-    """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
+def find_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``; the last is an output only."""
+    return _found(row_keys.from_files(docs), doc_id, text).drop(*KEY)
 
-    ``text_sha256`` is an output only. With ``carry``, a struct ``row`` of the document's own
-    columns is added.
-    """
-    content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    columns = [
-        F.col(f"`{doc_id}`").alias("doc_id"), F.lit(0).cast("long").alias("_group"),
-        F.encode(content, "UTF-8").alias("_rest"),
-        F.unhex(F.sha2(F.encode(content, "UTF-8"), 256)).alias("_sha"),
-    ]
-    if carry:
-        columns.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    rows, width, finished, round_number = docs.select(*columns), FIRST_CHUNK_BYTES, [], 0
-    carried = ["row"] if carry else []
+
+def _found(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The same for a table read from files, with the keys of the rows."""
+    content, width = _content(text), FIRST_CHUNK_BYTES
+    keyed = docs.select(
+        *row_keys.keys(), F.col(f"`{doc_id}`").alias("doc_id"), F.unhex(F.sha2(content, 256)).alias("_sha"), F.lit(0).cast("long").alias("_group"),
+        F.substring(content, 1, width).alias("_chunk"), (F.octet_length(content) <= width).alias("_ended"))
+    finished, round_number = [], 0
     while True:
-        keyed = rows.select(
-            "doc_id", "_sha", *carried, "_group", "_rest",
-            F.substring("_rest", 1, width).alias("_chunk"), _ended(F.col("_rest"), width).alias("_ended"))
         groups = store(
             keyed.groupBy("_group", "_chunk", "_ended")
             .agg(F.count(F.lit(1)).alias("_size"), F.max("doc_id").alias("_keep"))
             .where(F.col("_size") > 1)
             .withColumn("_next", F.monotonically_increasing_id()),
             f"radix-groups-{round_number}")
+        rest = [F.when(F.col("_size").isNotNull() & ~F.col("_ended"), F.expr(f"substring(_rest, {width + 1})")).alias("_rest")] if round_number else []
         dealt = store(
             keyed.join(groups.hint("merge"), ["_group", "_chunk", "_ended"], "left").select(
-                "doc_id", "_sha", *carried, "_size", "_keep",
+                *KEY, "doc_id", "_sha", "_size", "_keep",
                 F.when(F.col("_size").isNotNull(), F.struct(F.lit(round_number).alias("round"), F.col("_next").alias("n"))).alias("_set"),
-                F.coalesce(F.col("_size").isNotNull() & ~F.col("_ended"), F.lit(False)).alias("_goes_on"),
-                F.when(F.col("_size").isNotNull() & ~F.col("_ended"), F.expr(f"substring(_rest, {width + 1})")).alias("_rest")),
+                F.coalesce(F.col("_size").isNotNull() & ~F.col("_ended"), F.lit(False)).alias("_goes_on"), *rest),
             f"radix-rows-{round_number}")
         finished.append(dealt.where(~F.col("_goes_on")).drop("_rest", "_goes_on"))
-        going_on = dealt.where("_goes_on").select(
-            "doc_id", "_sha", *carried, F.col("_set.n").alias("_group"), "_rest")
         if groups.where(~F.col("_ended")).isEmpty():
             break
-        rows, width, round_number = going_on, min(width * CHUNK_GROWTH, WIDEST_CHUNK_BYTES), round_number + 1
-    found = reduce(DataFrame.unionByName, finished)
-    return _choose(found, carried)
+        going_on = dealt.where("_goes_on").withColumn("_group", F.col("_set.n"))
+        if not round_number:  # the texts of these rows only
+            texts = row_keys.marked(docs, going_on, [content], kept=True)
+            going_on = going_on.join(texts.select(*KEY, F.expr(f"substring(_c0, {width + 1})").alias("_rest")), list(KEY))
+        width, round_number = min(width * CHUNK_GROWTH, WIDEST_CHUNK_BYTES), round_number + 1
+        keyed = going_on.select(
+            *KEY, "doc_id", "_sha", "_group", "_rest", F.substring("_rest", 1, width).alias("_chunk"), (F.octet_length("_rest") <= width).alias("_ended"))
+    return _choose(reduce(DataFrame.unionByName, finished))
 
 
-def _choose(found: DataFrame, carried: list[str]) -> DataFrame:
+def _choose(found: DataFrame) -> DataFrame:
     """One row of each group stays: the one with the largest doc_id, the first stored of ties.
 
     Row numbers are stable, as they number the rows of stored files.
@@ -90,9 +89,10 @@ def _choose(found: DataFrame, carried: list[str]) -> DataFrame:
         numbered.where(is_best).groupBy("_set")
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_number").alias("_first"))
         .where(F.col("_n") > 1).drop("_n"))
+
     def columns(keep: Column, kept: Column) -> list:
-        return ["doc_id", keep.alias("keep_id"), F.coalesce(F.col("_size"), F.lit(1)).cast("long").alias("group_size"),
-                kept.alias("kept"), F.lower(F.hex("_sha")).alias("text_sha256"), *carried]
+        return [*KEY, "doc_id", keep.alias("keep_id"), F.coalesce(F.col("_size"), F.lit(1)).cast("long").alias("group_size"),
+                kept.alias("kept"), F.lower(F.hex("_sha")).alias("text_sha256")]
 
     # Unique documents have no group; they stay out of the join, where they would share one key.
     unique = numbered.where(F.col("_set").isNull()).select(*columns(F.col("doc_id"), F.lit(True)))
@@ -103,4 +103,7 @@ def _choose(found: DataFrame, carried: list[str]) -> DataFrame:
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay, with their own columns."""
-    return find_copies(docs, doc_id, text, carry=True).where("kept").select("row.*")
+    rows = row_keys.from_files(docs)
+    dropped = store(_found(rows, doc_id, text).where(~F.col("kept")).select(*KEY), "exact-copies")
+    kept = row_keys.marked(rows, dropped, [F.col(f"`{c}`") for c in docs.columns], kept=False)
+    return kept.drop(*KEY).toDF(*docs.columns)
