@@ -58,7 +58,7 @@ def _found(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             .where(F.col("_size") > 1)
             .withColumn("_next", F.monotonically_increasing_id()),
             f"radix-groups-{round_number}")
-        rest = [F.when(F.col("_size").isNotNull() & ~F.col("_ended"), F.expr(f"substring(_rest, {width + 1})")).alias("_rest")] if round_number else []
+        rest = [F.when(F.col("_size").isNotNull() & ~F.col("_ended"), F.col("_rest")).alias("_rest")] if round_number else []
         dealt = store(
             keyed.join(groups.hint("merge"), ["_group", "_chunk", "_ended"], "left").select(
                 *KEY, "doc_id", "_sha", "_size", "_keep",
@@ -73,8 +73,9 @@ def _found(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             texts = row_keys.marked(docs, going_on, [content], kept=True)
             going_on = going_on.join(texts.select(*KEY, F.expr(f"substring(_c0, {width + 1})").alias("_rest")), list(KEY))
         width, round_number = min(width * CHUNK_GROWTH, WIDEST_CHUNK_BYTES), round_number + 1
-        keyed = going_on.select(
-            *KEY, "doc_id", "_sha", "_group", "_rest", F.substring("_rest", 1, width).alias("_chunk"), (F.octet_length("_rest") <= width).alias("_ended"))
+        keyed = going_on.select(  # every byte travels once in a round: in the chunk, or in what is left behind it
+            *KEY, "doc_id", "_sha", "_group", F.substring("_rest", 1, width).alias("_chunk"), (F.octet_length("_rest") <= width).alias("_ended"),
+            F.expr(f"substring(_rest, {width + 1})").alias("_rest"))
     return _choose(reduce(DataFrame.unionByName, finished))
 
 
