@@ -21,7 +21,7 @@ from tripweave.functions import (
 )
 from tripweave.schemas import STATIONS, TRIP_MESSAGE
 from tripweave.session import shared_folder
-from tripweave.sinks import json_messages, keyed_json_messages, write_parquet
+from tripweave.sinks import json_messages, keyed_json_messages, write_by_day, write_parquet
 from tripweave.sources import append_rows, read_csv, read_parquet
 from tripweave.streaming import decode_messages
 
@@ -316,6 +316,25 @@ def station_pair_distances(spark, sf_dir):
     return plans.station_pair_distances(views.known_stations(spark, sf_dir))
 
 
+@query(f"""
+    select * from (
+      select a.id as "id_A", a.lat as "lat_A", a.long as "long_A", b.id as "id_B", b.lat as "lat_B", b.long as "long_B",
+             {haversine('a.long', 'a.lat', 'b.long', 'b.lat')} as abs_distance
+      from places a, places b where a.id <> b.id) where abs_distance <= 40000""".replace("places", """(
+        select id, try_cast(lat as double) as lat, try_cast(long as double) as long from raw_stations
+        union all select '597', 38.826213e0, -77.05864e0)"""), "raw_stations")
+def station_neighbours(spark, sf_dir):
+    stations = plans.clean_stations(views.raw_stations(spark, sf_dir))
+    return plans.station_neighbours(stations, 40_000)
+
+
+@query("""
+    select start_station_id, end_station_id, count(*) as count, lat_start, long_start, lat_end, long_end, abs_distance
+    from enriched group by all""", "enriched")
+def trip_pair_distances(spark, sf_dir):
+    return plans.trip_pair_distances(views.trips(spark, sf_dir), views.stations(spark, sf_dir))
+
+
 _ASOF_OUTPUT = ["event_id", "start_date", "date_time", "air_temp", "wind_speed", "visibility", "weather_class"]
 
 
@@ -476,6 +495,55 @@ def joined_class_counts(spark, sf_dir):
     return plans.joined_class_counts(views.joined(spark, sf_dir), allowed, "01/05/2024", "01/20/2024")
 
 
+@query(f"""
+    select weather_class, count(*) as count from joined
+    where date_time > timestamp '2024-01-05' and date_time < timestamp '2024-01-08'
+      and start_station_id in {_IN_BOX} and end_station_id in {_IN_BOX}
+    group by weather_class""", "joined", "stations")
+def joined_class_counts_by_day(spark, sf_dir):
+    """The same over trips that are stored by day; days that can have no such reading aren't read."""
+    path = shared_folder(spark, "trips-by-day")
+    write_by_day(views.trips(spark, sf_dir), "start_date", path)
+    stations = views.stations(spark, sf_dir)
+    joined = plans.joined_trips(spark.read.parquet(path), stations, views.weather(spark, sf_dir))
+    return plans.joined_class_counts(joined, op.inside_box(stations), "01/05/2024", "01/08/2024", day="start_day")
+
+
+_BY_PLACE_SQL = """
+    with placed as (
+      select *, cast(event_id % 7 as int) as place from (select event_id, start_date from trips)),
+    seen as (
+      select distinct on (place, date_time) cast(event_id % 7 as int) as place, date_trunc('minute', ts) as date_time,
+             {value} as reading
+      from events order by {order}),
+    latest as (
+      select t.event_id, t.place, t.start_date, r.date_time
+      from placed t asof left join seen r on t.place = r.place and t.start_date >= r.date_time)
+    select l.event_id, l.place, l.start_date, r.date_time, r.reading
+    from latest l left join seen r on r.place = l.place and r.date_time = l.date_time
+         and epoch_us(l.start_date) - epoch_us(l.date_time) <= 1200000000"""
+
+
+def _by_place(spark, sf_dir, tie_break=()) -> DataFrame:
+    """Trips and readings of seven places; several readings of a place fall into a minute."""
+    trips = views.trips(spark, sf_dir).selectExpr("event_id", "start_date", "int(event_id % 7) as place")
+    readings = views.table(spark, sf_dir, "events").selectExpr(
+        "int(event_id % 7) as place", "date_trunc('minute', ts) as date_time", "value as reading", "event_id as number")
+    found = op.asof_join(
+        trips, readings.select("place", "date_time", "reading", *tie_break), "start_date", "date_time", 1200, by=["place"], tie_break=tie_break)
+    return found.drop(*tie_break)
+
+
+@query(_BY_PLACE_SQL.format(value="value", order="place, date_time, value desc").replace("with placed as", ", placed as", 1), "trips")
+def asof_join_by_key(spark, sf_dir):
+    return _by_place(spark, sf_dir)
+
+
+@query(_BY_PLACE_SQL.format(value="value", order="place, date_time, event_id desc").replace("with placed as", ", placed as", 1), "trips")
+def asof_join_tie_break(spark, sf_dir):
+    return _by_place(spark, sf_dir, ["number"])
+
+
 @query("""
     select start_station_id, weather_summary from (
       select start_station_id, weather_summary, row_number() over (

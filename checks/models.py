@@ -52,15 +52,15 @@ _INDEX_SQL = """
 
 def _indexed_stations(spark, sf_dir):
     """Observed cells with station and class indices and the station vector."""
-    observed = views.observed_panel(spark, sf_dir).na.drop("any")
+    observed = store(views.observed_panel(spark, sf_dir).na.drop("any"), "observed-cells")  # the fit reads it several times
     *encode, assemble = ml.station_stages()
     return observed, Pipeline(stages=encode), assemble
 
 
 @query(f"select station, cast(station_index as double) as station_index from ({_INDEX_SQL})", "observed")
 def ml_string_index(spark, sf_dir):
-    observed, encode, _ = _indexed_stations(spark, sf_dir)
-    cells = encode.fit(observed).transform(observed)
+    observed = store(views.observed_panel(spark, sf_dir).na.drop("any").select("station", "hour", "dayofyear"), "observed-cells")
+    cells = ml.apply_index(observed, ml.fit_index(observed, "station"), "station", "station_index")
     return cells.groupBy("station").agg(F.max("station_index").alias("station_index"))
 
 

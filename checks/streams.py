@@ -21,7 +21,7 @@ from tripweave.schemas import TRIP_MESSAGE
 from tripweave.session import shared_folder
 from tripweave.sinks import json_messages, store, write_batch, write_message_files, write_parquet
 from tripweave.streaming import (
-    decode_messages, run_batches, start_scoring, start_summaries, text_stream, wait,
+    current_windows, decode_messages, run_batches, start_scoring, start_summaries, start_windowed_summary, text_stream, wait,
 )
 
 _ARRIVALS = 3
@@ -131,6 +131,20 @@ def stream_category_counts(spark, sf_dir):
     return spark.read.parquet(counts).select("batch_id", "attribute", "category", "count")
 
 
+@query(" union all ".join(f"""
+    select time_bucket(interval '6 hours', start_date) as window_start, '{name}' as attribute, count(*) as elements_after_filter,
+           round(cast(min({name}) as double), 6) as min, round(cast(max({name}) as double), 6) as max,
+           round(avg({name}), 6) as mean, round(stddev_pop({name}), 6) as stddev_pop
+    from joined where {_KEPT_SQL} group by 1""" for name in STREAM_NUMERIC_ATTRIBUTES), "joined")
+def stream_windowed_summary(spark, sf_dir):
+    """Windows of event time over all micro-batches; the state goes on from the checkpoint."""
+    output = shared_folder(spark, "windows")
+    _deliver(spark, _joined_arrivals(spark, sf_dir), lambda messages, checkpoint: start_windowed_summary(
+        messages, output, checkpoint, size="6 hours", mode="complete"))
+    windows = current_windows(spark.read.parquet(output)).drop("run_id", "window_end")
+    return rounded(windows, "min", "max", "mean", "stddev_pop")
+
+
 @query(f"""
     select batch_id, attribute, elements_after_filter, cast(2 as bigint) as runs from ({_NUMERIC_SQL})""", "joined")
 def stream_summary_two_runs(spark, sf_dir):

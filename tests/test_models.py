@@ -96,3 +96,16 @@ def test_mean_encoding_has_one_feature_for_any_number_of_stations(rows):
     assert widths == [8, 8]
     with pytest.raises(ValueError):
         ml.station_stages(encoding="other")
+
+
+def test_index_of_a_million_labels(spark):
+    from pyspark.sql import functions as F
+
+    labels = spark.range(1_000_000).select(F.concat(F.lit("s"), F.lpad(F.col("id").cast("string"), 7, "0")).alias("station"))
+    rows = labels.unionByName(labels.where("station >= 's0999000'")).unionByName(spark.createDataFrame([(None,)], "station string"))
+    index = ml.fit_index(rows, "station")
+    found = ml.apply_index(rows.select("station").distinct(), index, "station", "number")
+    first = F.when(F.col("station") >= "s0999000", F.substring("station", 2, 7).cast("int") - 999_000).otherwise(F.substring("station", 2, 7).cast("int") + 1000)
+    assert found.where("station is not null").where(F.col("number") != first).isEmpty() and found.count() == 1_000_001
+    assert [r["number"] for r in found.where("station is null").collect()] == [1_000_000.0]
+    assert ml.apply_index(rows.limit(3), ml.fit_index(rows.limit(0), "station"), "station", "n").select("n").distinct().collect()[0][0] == 0.0

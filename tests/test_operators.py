@@ -183,3 +183,25 @@ def test_joined_counts_leave_out_trips_without_reading(rows):
                     (datetime(2019, 5, 1), "1", "1", "clear"), (None, "1", "1", "clear"), (datetime(2019, 5, 1), "1", "2", "clear"))
     allowed = rows.of("terminalName string", ("1",))
     assert rows.back(plans.joined_class_counts(frame, allowed)) == [("clear", 1)]
+
+
+def test_near_pairs_hold_all_neighbours(rows):
+    import math
+    import random
+
+    from tripweave import plans
+
+    draw = random.Random(4)
+    def metres(a, b):
+        p, q = math.radians(a[1]), math.radians(b[1])
+        chord = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[2] - a[2]) / 2) ** 2
+        return round(2 * math.asin(min(1, math.sqrt(chord))) * 6_371_000)
+    for most in (2, 60, 89.99):  # the last: one cell spans all longitudes
+        places = [(f"s{i}", draw.uniform(-most, most), draw.choice([draw.uniform(-180, 180), 179.99, -179.99, draw.uniform(5, 6)])) for i in range(150)]
+        places += [("same", *places[0][1:]), ("none", None, 5.0)]
+        frame = rows.of("id string, lat double, long double, name string", *((*p, "x") for p in places))
+        for radius in (1_000, 300_000, 30_000_000):
+            got = {(r["id_A"], r["id_B"]) for r in plans.station_neighbours(frame, radius).collect()}
+            sound = places[:-1]
+            assert got == {(a[0], b[0]) for a in sound for b in sound if a[0] != b[0] and metres(a, b) <= radius}
+    assert plans.station_neighbours(frame.limit(0), 1000).count() == 0

@@ -56,3 +56,45 @@ def test_large_dimension_is_not_broadcast(spark):
 def test_top_counts_and_previews_do_not_sort_everything(spark):
     for name in ("top_n_stations_desc", "preview_limit"):
         assert "TakeOrderedAndProject" in plan_of(entry_module.queries()[name](spark, DATA))
+
+
+def test_no_task_orders_all_readings(spark):
+    for name in ("asof_join", "asof_join_short_tolerance"):
+        plan = plan_of(entry_module.queries()[name](spark, DATA))
+        assert "Window" in plan and "SinglePartition" not in plan
+
+
+def test_asof_reads_its_left_side_twice_and_looks_nothing_up_for_the_times(spark):
+    from checks import views
+
+    frame = views.joined(spark, DATA)
+    frame.collect()
+    final = plan_of(frame).split("== Initial Plan ==")[0]
+    scans = [line for line in final.splitlines() if "Scan parquet" in line]
+    assert "ReusedExchange" in final
+    assert sum("nation" in line for line in scans) <= 2  # each end of a trip, once at most
+    assert sum("events" in line for line in scans) <= 4  # times and rows of the trips; the weather made from them
+
+
+def test_filter_on_readings_prunes_days_of_the_trip_table(spark):
+    frame = entry_module.queries()["joined_class_counts_by_day"](spark, DATA)
+    filters = [part.split("]")[0] for part in plan_of(frame).split("PartitionFilters: [")[1:] if "start_day" in part.split("]")[0]]
+    assert filters and all(">=" in f and "<=" in f for f in filters)
+
+
+def test_profile_reads_the_trips_once(spark, tmp_path):
+    from checks import views
+    from tripweave import plans
+
+    path = str(tmp_path / "enriched")
+    views.enriched(spark, DATA).write.parquet(path)
+    profile = plans.trip_profile(spark.read.parquet(path))
+    for table in profile.values():
+        assert path not in plan_of(table) and "trip-profile" in plan_of(table)
+    empty = plans.trip_profile(spark.read.parquet(path).limit(0))
+    assert empty["usage"].count() == 0 and [r["mean"] for r in empty["numeric"].collect()] == [None, None]
+
+
+def test_neighbours_meet_by_cells(spark):
+    plan = plan_of(entry_module.queries()["station_neighbours"](spark, DATA))
+    assert "_to_row" in plan and "NestedLoop" not in plan

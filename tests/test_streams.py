@@ -11,9 +11,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripweave import ml
-from tripweave.schemas import TRIP_MESSAGE
+from tripweave.schemas import TIMED_TRIP_MESSAGE, TRIP_MESSAGE
+from tripweave.sinks import read_committed
 from tripweave.streaming import (
-    category_counts, category_lists, decode_messages, run_batches, start_scoring, start_summaries, text_stream, wait,
+    category_counts, category_lists, current_windows, decode_messages, late_rows, run_batches, start_scoring, start_summaries,
+    start_windowed_summary, text_stream, wait, windowed_summary,
 )
 
 
@@ -157,3 +159,80 @@ def test_unlabelled_messages_are_predicted_and_the_rest_is_counted(spark, rows,
     assert wait(query, 120)
     assert [r[0] for r in rows.back(spark.read.parquet(folders["numbers"]), "hour")] == [1, 2, 3, 4, 5]
     assert tuple(spark.read.parquet(folders["categories"]).select("n", "unlabelled", "corrupt", "incomplete").first()) == (2, 3, 2, 2)
+
+
+def timed(draw, minute):
+    return message(draw) | {"start_date": f"2019-05-01T{minute // 60 % 24:02}:{minute % 60:02}:00", "lat_start": 38.5}
+
+
+def windows(spark, folders, mode, **options):
+    query = start_windowed_summary(
+        text_stream(spark, folders["in"], 1), folders["numbers"], folders["checkpoint"], size="1 hour", delay="2 hours", mode=mode, **options)
+    assert wait(query, 120)
+    return query
+
+
+def counted(spark, folders):
+    rows = current_windows(spark.read.parquet(folders["numbers"])).where("attribute = 'duration'").collect()
+    return {r["window_start"].hour: (r["elements_after_filter"], r["min"], r["max"]) for r in rows}
+
+
+def by_hour(messages):
+    hours = {}
+    for m in messages:
+        hours.setdefault(int(m["start_date"][11:13]), []).append(float(m["duration"]))
+    return {h: (len(v), min(v), max(v)) for h, v in hours.items()}
+
+
+@pytest.mark.parametrize("mode", ["complete", "update"])
+def test_windows_go_on_after_a_restart(spark, folders, mode):
+    draw, sent = random.Random(8), []
+    for number, minutes in enumerate([range(0, 200, 7), range(100, 300, 9), range(150, 320, 11)]):
+        batch = [timed(draw, m) for m in minutes]
+        sent += batch
+        deliver(folders, number, [*batch, message(draw)], broken=["not json"])  # one without a time
+        windows(spark, folders, mode)
+        assert counted(spark, folders) == by_hour(sent)
+    at_once = windowed_summary(
+        decode_messages(spark.read.text(folders["in"]), TIMED_TRIP_MESSAGE), F.lit(True)).where("attribute = 'duration'")
+    assert {r["window_start"].hour: r["elements_after_filter"] for r in at_once.collect()} == {h: v[0] for h, v in by_hour(sent).items()}
+
+
+def test_final_windows_leave_late_messages_out(spark, folders):
+    draw = random.Random(9)
+    batches = [[timed(draw, m) for m in minutes] for minutes in ([10, 20, 70], [600], [15, 610], [900])]
+    dropped = 0
+    for number, batch in enumerate(batches):
+        deliver(folders, number, batch)
+        dropped += late_rows(windows(spark, folders, "append"))
+    # Hours 0 and 1 were final two hours before 10:00; the message of 0:15 came after that.
+    got = counted(spark, folders)
+    assert dropped == 1 and got == by_hour(batches[0] + batches[1] + [batches[2][1]])
+    assert spark.read.parquet(folders["numbers"]).groupBy("window_start", "attribute").count().where("count > 1").isEmpty()
+
+
+def test_half_a_batch_is_not_shown(spark, folders, monkeypatch):
+    from tripweave.streaming import summaries
+
+    draw = random.Random(6)
+    deliver(folders, 0, [message(draw) for _ in range(20)])
+    summarise(spark, folders)
+    tables = [folders["numbers"], folders["categories"], folders["categories"] + "-counts"]
+    shown = lambda: [{r["batch_id"] for r in read_committed(spark, t, folders["numbers"] + "-commits").collect()} for t in tables]
+    assert shown() == [{0}] * 3
+    deliver(folders, 1, [message(draw) for _ in range(20)])
+    write = summaries.write_batch
+
+    def fails(rows, path, *more):
+        if path == folders["categories"]:
+            raise RuntimeError("lost")
+        write(rows, path, *more)
+
+    monkeypatch.setattr(summaries, "write_batch", fails)
+    with pytest.raises(Exception):
+        summarise(spark, folders)
+    assert {r["batch_id"] for r in spark.read.parquet(folders["numbers"]).collect()} == {0, 1}  # written, not committed
+    assert shown() == [{0}] * 3
+    monkeypatch.setattr(summaries, "write_batch", write)
+    summarise(spark, folders)
+    assert shown() == [{0, 1}] * 3

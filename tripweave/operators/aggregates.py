@@ -52,12 +52,18 @@ def class_shares(rows: DataFrame, key: str) -> DataFrame:
 
 def numeric_profile(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Minimum, maximum, mean and sample deviation of each column, all from one scan."""
-    measures = {"min": F.min, "max": F.max, "mean": F.avg, "stddev_samp": F.stddev_samp}
-    wide = rows.agg(*[
+    return unpivot_measures(rows.agg(*spread_of(columns)), columns, list(SPREAD))
+
+
+SPREAD = {"min": F.min, "max": F.max, "mean": F.avg, "stddev_samp": F.stddev_samp}
+
+
+def spread_of(columns: Sequence[str]) -> list[Column]:
+    """The measures of each column as aggregates named ``column__measure``."""
+    return [
         measure(F.col(column).cast("double")).alias(f"{column}__{name}")
-        for column in columns for name, measure in measures.items()
-    ])
-    return unpivot_measures(wide, columns, list(measures))
+        for column in columns for name, measure in SPREAD.items()
+    ]
 
 
 def unpivot_measures(

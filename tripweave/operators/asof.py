@@ -4,12 +4,13 @@ Two plans give the same rows:
 
 * ``interval``, if the caller names it (as a streaming left side needs): every right row becomes the
   time interval in which it is the latest one, cut at bucket borders, and the left side joins by
-  bucket. Spark broadcasts the intervals while they are under its own size threshold. Meant for
-  a right side of modest size, as one window orders its distinct times.
+  bucket. Spark broadcasts the intervals while they are under its own size threshold. A reading's
+  successor matters only within the tolerance, so it is looked for inside a segment of that length, and
+  for a segment's last reading in the segment after it: no window orders all readings.
 * ``merge``, the default: for any size and skew. Distinct left times are resolved against right times in
   three levels (minute, day, whole history), so that no window ever holds more than one
   minute of distinct times, one day of minutes or the history's days; then the left side joins
-  its resolved times by equality.
+  its resolved times by equality. The left side is read twice: its time column, and the rows.
 """
 
 from __future__ import annotations
@@ -85,9 +86,15 @@ def _with_interval(
     readings: DataFrame, by: list[str], tolerance: int, bucket: int,
 ) -> DataFrame:
     """Each reading with its interval ``[_r, _end)`` and the buckets the interval touches."""
-    later = F.lead("_r").over(Window.partitionBy(*by).orderBy("_r"))
-    end = F.least(F.coalesce(later, F.lit(_NEVER)), F.col("_r") + tolerance + 1)
-    return readings.withColumn("_end", end).withColumns({
+    segment = F.floor(F.col("_r") / max(tolerance + 1, bucket))
+    first = _renamed_keys(
+        readings.groupBy(*by, (segment - 1).alias("_before")).agg(F.min("_r").alias("_first_after")), by)
+    within = Window.partitionBy(*by, "_segment").orderBy("_r")
+    in_segment = readings.withColumn("_segment", segment).withColumn("_later", F.lead("_r").over(within))
+    rows = in_segment.join(first, _with_keys(F.col("_segment") == F.col("_before"), by), "left")
+    later = F.coalesce("_later", "_first_after", F.lit(_NEVER))
+    end = F.least(later, F.col("_r") + tolerance + 1)
+    return rows.select(*readings.columns, end.alias("_end")).withColumns({
         "_first": F.floor(F.col("_r") / bucket), "_last": F.floor((F.col("_end") - 1) / bucket),
     })
 
@@ -121,9 +128,9 @@ def _merge_join(
     times = both.groupBy(*by, "_minute", "_t").agg(F.max("_r").alias("_r"))
 
     # Latest reading of all earlier minutes: within the day, else of earlier days. Counted
-    # from the sides again rather than from the times, as this shuffles only minutes.
+    # from the distinct times, whose shuffle Spark reuses, so neither side is read again.
     minutes = (
-        both.groupBy(*by, "_minute").agg(F.max("_r").alias("_newest"))
+        times.groupBy(*by, "_minute").agg(F.max("_r").alias("_newest"))
         .withColumn("_day", F.floor(F.col("_minute") / _MINUTES_PER_DAY))
     )
     before_day = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)

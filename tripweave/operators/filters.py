@@ -25,15 +25,36 @@ def between_dates(
     unless ``inclusive``. The bounds fold to literals of the column's own type, so the
     filter reaches a Parquet scan.
     """
-    low, high = (F.to_timestamp(F.lit(bound), DATE_BOUND_FORMAT) for bound in (start, end))
-    if isinstance(rows.schema[time].dataType, TimestampNTZType):
-        low, high = low.cast("timestamp_ntz"), high.cast("timestamp_ntz")
+    low, high = _bounds(rows, time, start, end)
     column = F.col(time)
     if inclusive:
         return rows.where(column.between(low, high))
     return rows.where((column > low) & (column < high))
 
 
+def _bounds(rows: DataFrame, time: str, start: str, end: str) -> tuple[Column, Column]:
+    low, high = (F.to_timestamp(F.lit(bound), DATE_BOUND_FORMAT) for bound in (start, end))
+    if isinstance(rows.schema[time].dataType, TimestampNTZType):
+        low, high = low.cast("timestamp_ntz"), high.cast("timestamp_ntz")
+    return low, high
+
+
+def implied_by_reading(
+    rows: DataFrame, time: str, start: str, end: str, tolerance_seconds: int, day: str | None = None,
+) -> DataFrame:
+    """Rows whose own time allows a reading between the dates: a reading is at most the tolerance
+    older than the row. Drops no row that a filter on the reading's time keeps, but is about the row's own
+    columns, so it reaches the scan; with ``day`` (a date column by which a table is partitioned,
+    see ``write_by_day``) it names the folders to read.
+    """
+    low, high = _bounds(rows, time, start, end)
+    high = high + F.make_dt_interval(secs=F.lit(tolerance_seconds))
+    kept = rows.where((F.col(time) > low) & (F.col(time) < high))
+    if day is not None:
+        kept = kept.where((F.col(day) >= F.to_date(low)) & (F.col(day) <= F.to_date(high)))
+    return kept
+
+
 def inside_box(
     stations: DataFrame,
     min_lat: float | str = DEFAULT_MIN_LAT,

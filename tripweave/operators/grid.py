@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripweave.fixed_values import EARTH_RADIUS_KM
+
 
 def _blocks(table: DataFrame, blocks: int | None) -> int:
     return blocks or int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -51,3 +55,36 @@ def distinct_pairs(
     second = second.withColumn("_col", _block_of([second_id], side)).withColumn("_row", _every_block(side))
     pairs = first.join(second, ["_row", "_col"]).where(F.col(first_id) != F.col(second_id))
     return pairs.drop("_row", "_col")
+
+
+def near_pairs(
+    table: DataFrame, id_name: str, radius_metres: float, suffixes: tuple[str, str] = ("_A", "_B"),
+    lat: str = "lat", long: str = "long",
+) -> DataFrame:
+    """Ordered pairs of different rows among which are all that lie within a radius of each other.
+
+    Cells are one radius high, and as wide as the radius is at the table's highest latitude, so that the
+    nine cells around a row hold all of its neighbours; they close up around the date line.
+    Each row is sent to nine cells and meets the rows there by equality. A row without a position has no pair.
+    """
+    angle = radius_metres * 1.001 / (EARTH_RADIUS_KM * 1000)  # a little more, as distances are rounded
+    height = math.degrees(angle)
+    placed = table.where(F.col(lat).isNotNull() & F.col(long).isNotNull())
+    ratio = F.sin(F.lit(min(angle, math.pi / 2))) / F.cos(F.radians(F.max(F.abs(lat))))
+    width = placed.agg(F.when(ratio < 1, F.degrees(F.asin(ratio))).otherwise(360.0).alias("width")).scalar()
+    around = F.greatest(F.floor(F.lit(360.0) / width), F.lit(1).cast("bigint"))
+    first, second = (
+        placed.select(*[F.col(name).alias(f"{name}{suffix}") for name in table.columns])
+        .withColumns({
+            f"_row{suffix}": F.floor(F.col(f"{lat}{suffix}") / height),
+            "_around": around,
+        }).withColumn(f"_col{suffix}", F.floor(F.pmod(F.col(f"{long}{suffix}") + 180, F.lit(360.0)) * F.col("_around") / 360))
+        for suffix in suffixes)
+    one, other = suffixes
+    steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    cells = F.array_distinct(F.transform(steps, lambda step: F.pmod(F.col(f"_col{one}") + step, F.col("_around"))))
+    sent = first.withColumn("_to_row", F.explode(F.transform(steps, lambda step: F.col(f"_row{one}") + step)))
+    sent = sent.withColumn("_to_col", F.explode(cells)).drop("_around")
+    met = sent.join(second.drop("_around"), (F.col("_to_row") == F.col(f"_row{other}")) & (F.col("_to_col") == F.col(f"_col{other}")))
+    pairs = met.where(F.col(f"{id_name}{one}") != F.col(f"{id_name}{other}"))
+    return pairs.drop("_to_row", "_to_col", *[f"_{part}{suffix}" for part in ("row", "col") for suffix in suffixes])

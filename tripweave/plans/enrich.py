@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tripweave.fixed_values import WEATHER_TOLERANCE_SECONDS
 from tripweave.functions import haversine_metres
 from tripweave.operators.asof import asof_join
-from tripweave.operators.grid import distinct_pairs
+from tripweave.operators.grid import distinct_pairs, near_pairs
 
 
 def enrich_trips(trips: DataFrame, stations: DataFrame) -> DataFrame:
@@ -47,8 +47,30 @@ def add_weather(
 def joined_trips(
     trips: DataFrame, stations: DataFrame, weather: DataFrame, strategy: str = "merge",
 ) -> DataFrame:
-    """The extended joined table: coordinates, distance and weather per trip."""
-    return add_weather(enrich_trips(trips, stations), weather, strategy=strategy)
+    """The extended joined table: coordinates, distance and weather per trip.
+
+    Weather comes first, as the as-of join reads its left side for the times and again for the rows, and
+    neither reading should repeat the look-ups of the stations.
+    """
+    found = enrich_trips(add_weather(trips, weather, strategy=strategy), stations)
+    places = ["lat_start", "long_start", "lat_end", "long_end", "abs_distance"]
+    return found.select(*trips.columns, *places, "time", *weather.columns)
+
+
+def station_neighbours(stations: DataFrame, radius_metres: float) -> DataFrame:
+    """Ordered pairs of different stations at most so far apart, with their distance.
+
+    A station meets only those of its own and the eight adjoining cells of a grid as wide as the radius.
+    """
+    pairs = near_pairs(stations.select("id", "lat", "long"), "id", radius_metres)
+    distance = haversine_metres(F.col("long_A"), F.col("lat_A"), F.col("long_B"), F.col("lat_B"))
+    return pairs.withColumn("abs_distance", distance).where(F.col("abs_distance") <= radius_metres)
+
+
+def trip_pair_distances(trips: DataFrame, stations: DataFrame) -> DataFrame:
+    """Trips and distance of every pair of stations that trips connect; pairs collapse on the map side."""
+    pairs = trips.groupBy("start_station_id", "end_station_id").agg(F.count("*").alias("count"))
+    return enrich_trips(pairs, stations)
 
 
 def station_pair_distances(stations: DataFrame, blocks: int | None = None) -> DataFrame:

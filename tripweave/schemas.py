@@ -43,6 +43,9 @@ TRIP_MESSAGE = _table(
     visibility=_double, weather_class=_text,
 )
 
+# The same with the time by which windows are formed.
+TIMED_TRIP_MESSAGE = T.StructType([*TRIP_MESSAGE.fields, T.StructField("start_date", _time)])
+
 # Fields read from model messages: everything is a number.
 CITY_MESSAGE = _table(
     hour=_double, dayofyear=_double, month=_double, air_temp=_double, wind_speed=_double,

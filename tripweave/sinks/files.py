@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tripweave.session import shared_folder
 
@@ -28,6 +29,11 @@ def write_parquet(
         table.write.mode(mode).parquet(path)
 
 
+def write_by_day(table: DataFrame, time: str, path: str, day: str = "start_day", mode: str = "errorifexists") -> None:
+    """Write the table in one folder per date of its time column; filters on ``day`` skip folders."""
+    write_parquet(table.withColumn(day, F.to_date(time)), path, mode, [day])
+
+
 def store(table: DataFrame, purpose: str) -> DataFrame:
     """The table, written once to the shared folder and read from there.
 

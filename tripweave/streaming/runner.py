@@ -13,14 +13,17 @@ def run_batches(
     handle: Callable[[DataFrame, int], None],
     checkpoint: str,
     every_seconds: float | None = None,
+    output_mode: str = "append",
 ) -> StreamingQuery:
     """Call ``handle(batch, batch_id)`` per micro-batch.
 
+    ``output_mode`` matters for streams with state, such as windows: which of its rows a batch holds.
+
     With an interval a batch starts every so many seconds until stopped; without one the
     query works off what is there and ends. The checkpoint lets a restart go on where the
     last run stopped.
     """
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.outputMode(output_mode).foreachBatch(handle).option("checkpointLocation", checkpoint)
     if every_seconds is None:
         writer = writer.trigger(availableNow=True)
     else:

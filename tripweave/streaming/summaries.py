@@ -13,7 +13,7 @@ from tripweave.fixed_values import STREAM_CATEGORY_ATTRIBUTES, STREAM_NUMERIC_AT
 from tripweave.operators.aggregates import counts_of_columns, unpivot_measures
 from tripweave.operators.filters import message_box
 from tripweave.schemas import TRIP_MESSAGE
-from tripweave.sinks.summaries import write_batch
+from tripweave.sinks.summaries import DONE, OPEN, mark_batch, write_batch
 from tripweave.streaming.messages import decode_messages
 from tripweave.streaming.runner import run_batches
 
@@ -96,6 +96,7 @@ def start_summaries(
     every_seconds: float | None = None,
     counts_path: str | None = None,
     other_cut: int = 1000,
+    commits_path: str | None = None,
 ) -> StreamingQuery:
     """Add a numeric and a categorical summary of every micro-batch to two Parquet tables.
 
@@ -103,15 +104,21 @@ def start_summaries(
     category goes to a long table of its own (``counts_path``, by default ``-counts`` after the
     categorical path). The lists are a report over it: the first ``station_cut`` start stations
     and the first ``other_cut`` categories of any other attribute.
+
+    The three tables are written one after the other. A record per batch (``commits_path``, by default
+    ``-commits`` after the numeric path) tells when all are there: ``read_committed`` shows of a
+    batch all tables or none, also after a failure between them.
     """
     keep = message_box() if keep is None else keep
     decoded = decode_messages(messages, TRIP_MESSAGE)
     long_path = counts_path or f"{category_path.rstrip('/')}-counts"
+    commits = commits_path or f"{numeric_path.rstrip('/')}-commits"
     cut = {name: other_cut for name in STREAM_CATEGORY_ATTRIBUTES} | {"start_station_id": station_cut}
 
     def summarise(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
+            mark_batch(batch, commits, batch_id, OPEN)
             stamp = F.lit(datetime.now(timezone.utc)).alias("timestamp")  # one for all tables
             numbers = numeric_summary(batch, keep).select("*", stamp)
             write_batch(numbers, numeric_path, batch_id)
@@ -123,6 +130,7 @@ def start_summaries(
                 lists.select("attribute", stamp, elements.alias("elements"), "categories", "values"),
                 category_path, batch_id,
             )
+            mark_batch(batch, commits, batch_id, DONE)
         finally:
             batch.unpersist()
 
