@@ -11,7 +11,8 @@ table (a block that is found in the document is main text), and pages made from
 lines inside random templates with menus, headers, sidebars, notices, adverts, forms and comments.
 
 Scale: a map over the pages; the model is a few hundred kilobytes and broadcast. Pages of similar
-length are labelled together in bounded groups; memory is bounded by the longest page.
+length are labelled together in bounded groups; memory is bounded by the longest page, some kilobytes a
+block, however deep its tags nest, as blocks share the paths above them.
 
 Defined results: null, empty and tag-free input have the text that stands outside tags, if it is
 labelled as main text, else an empty string; unclosed tags, comments, scripts and styles run to the
@@ -26,7 +27,8 @@ from __future__ import annotations
 import html as html_module
 import re
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -59,9 +61,49 @@ _PARTS = re.compile(r"[A-Za-z]+")
 PATH_BUCKETS, WORD_BUCKETS, PLAIN = 256, 32, 5
 
 
+class Path:
+    """An element: its own tokens and the path above it, which everything inside shares."""
+
+    __slots__ = ("above", "tokens", "size", "main", "inside", "counts")
+
+    def __init__(self, above: Path | None, tokens: tuple[str, ...]):
+        self.above, self.tokens = above, tokens
+        self.size = len(tokens) + (above.size if above else 0)
+        self.main = "data-main:main" in tokens or (above is not None and above.main)
+        self.inside: dict[tuple[str, ...], Path] = {}
+        self.counts: np.ndarray | None = None  # of the buckets of all tokens, where it was asked for
+
+    def to(self, tokens: tuple[str, ...]) -> Path:
+        """The path of an element inside; equal elements share one."""
+        if tokens not in self.inside:
+            self.inside[tokens] = Path(self, tokens)
+        return self.inside[tokens]
+
+    def __iter__(self) -> Iterator[str]:
+        chain, at = [], self
+        while at is not None:
+            chain.append(at.tokens)
+            at = at.above
+        return (token for tokens in reversed(chain) for token in tokens)
+
+    def bucket_counts(self) -> np.ndarray:
+        """Kept here and in the element above, so a deep page costs one step per block."""
+        for place in (self.above, self):
+            if place is None or place.counts is not None:
+                continue
+            chain, at = [], place
+            while at is not None and at.counts is None:
+                chain.append(at.tokens)
+                at = at.above
+            place.counts = np.zeros(PATH_BUCKETS, np.float32) if at is None else at.counts.copy()
+            for tokens in chain:
+                np.add.at(place.counts, _buckets(tokens), 1.0)
+        return self.counts
+
+
 @dataclass
 class Leaf:
-    path: tuple[str, ...]
+    path: Path | tuple[str, ...]
     text: str
     link_share: float
     marked: bool
@@ -77,7 +119,9 @@ def _attribute_tokens(attributes: str) -> tuple[str, ...]:
 def leaves(html: str) -> list[Leaf]:
     """The blocks with text, in page order."""
     out: list[Leaf] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    top = Path(None, ())
+    stack: list[tuple[str, Path]] = []
+    opened: Counter[str] = Counter()
     pieces: list[str] = []
     at = link_depth = link_chars = 0
     in_head, endless = False, set()
@@ -100,8 +144,8 @@ def leaves(html: str) -> list[Leaf]:
         joined = " ".join(html_module.unescape("".join(pieces)).split())
         pieces.clear()
         if joined:
-            path = tuple(token for tag, extra in stack for token in (f"tag:{tag}", *extra))
-            out.append(Leaf(path, joined, min(1.0, link_chars / len(joined)), "data-main:main" in path))
+            path = stack[-1][1] if stack else top
+            out.append(Leaf(path, joined, min(1.0, link_chars / len(joined)), path.main))
         link_chars = 0
 
     while token := _TOKEN.search(html, at):
@@ -134,25 +178,38 @@ def leaves(html: str) -> list[Leaf]:
         flush()
         link_depth = 0
         if closes:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
+            while opened[name]:
+                last, _ = stack.pop()
+                opened[last] -= 1
+                if last == name:
                     break
         elif name not in EMPTY:
             if stack and stack[-1][0] in ("p", "li", "dt", "dd", "option") and (stack[-1][0] == "p" or name == stack[-1][0]):
-                stack.pop()
-            stack.append((name, _attribute_tokens(token.group(4)) if "=" in (token.group(4) or "") else ()))
+                opened[stack.pop()[0]] -= 1
+            tokens = (f"tag:{name}", *(_attribute_tokens(token.group(4)) if "=" in (token.group(4) or "") else ()))
+            stack.append((name, (stack[-1][1] if stack else top).to(tokens)))
+            opened[name] += 1
     pieces.append(html[at:])
     flush()
     return out
 
 
-def _path_buckets(path: tuple[str, ...]) -> np.ndarray:
+def _buckets(tokens: Sequence[str], kind: bytes = b"") -> np.ndarray:
+    return np.array([zlib.crc32(kind + t.encode()) % PATH_BUCKETS for t in tokens], np.int64)
+
+
+def _path_vector(path: Path | tuple[str, ...]) -> np.ndarray:
     """Buckets of the path's tokens; the two nearest elements count a second time on their own."""
-    tags = [i for i, token in enumerate(path) if token.startswith("tag:")]
-    near = path[tags[-2] if len(tags) > 1 else 0:]
-    return np.array([zlib.crc32(t.encode()) % PATH_BUCKETS for t in path]
-                    + [zlib.crc32(b"near:" + t.encode()) % PATH_BUCKETS for t in near], np.int64)
+    if isinstance(path, Path):
+        near = (*(path.above.tokens if path.above else ()), *path.tokens)
+        counts, size = path.bucket_counts().copy(), path.size + len(near)
+    else:
+        tags = [i for i, token in enumerate(path) if token.startswith("tag:")]
+        near = path[tags[-2] if len(tags) > 1 else 0:]
+        counts, size = np.zeros(PATH_BUCKETS, np.float32), len(path) + len(near)
+        np.add.at(counts, _buckets(path), 1.0)
+    np.add.at(counts, _buckets(near, b"near:"), 1.0)
+    return counts / np.sqrt(max(size, 1))
 
 
 def word_vectors(of_leaves: list[Leaf]) -> np.ndarray:
@@ -229,7 +286,7 @@ class Labeller:
 def _padded(pages: list[list[Leaf]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Unique paths (multi-hot), path index, word vectors and mask of pages of one group."""
     steps = max(len(p) for p in pages)
-    known: dict[tuple[str, ...], int] = {}
+    known: dict[Path | tuple[str, ...], int] = {}
     index, mask = np.zeros((len(pages), steps), np.int64), np.zeros((len(pages), steps), bool)
     words = np.zeros((len(pages), steps, WORD_BUCKETS + PLAIN), np.float32)
     flat = word_vectors([leaf for page in pages for leaf in page])
@@ -241,10 +298,7 @@ def _padded(pages: list[list[Leaf]]) -> tuple[np.ndarray, np.ndarray, np.ndarray
         at += len(page)
     paths = np.zeros((len(known), PATH_BUCKETS), np.float32)
     for path, i in known.items():
-        found = _path_buckets(path)
-        if len(found):
-            np.add.at(paths[i], found, 1.0)
-            paths[i] /= np.sqrt(len(found))
+        paths[i] = _path_vector(path)
     return paths, index, words, mask
 
 
@@ -385,22 +439,25 @@ def labels_from(page: list[Leaf], document: str) -> np.ndarray | None:
 
 def fit(
     pages: DataFrame, docs: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
-    doc_id: str = "doc_id", text: str = "text", max_pages: int = 240,
+    doc_id: str = "doc_id", text: str = "text", max_pages: int = 240, max_page_chars: int = 40_000,
 ) -> Labeller:
-    """A labeller trained on ``max_pages`` pages at most; all choices by hash, seeded.
+    """A labeller trained on ``max_pages`` pages at most, each shorter than ``max_page_chars``; all choices by
+    hash, seeded. (The bounds are those of the training sample; every page is extracted whole.)
 
-    A page's document is the one whose doc_id is the last number of its url's path.
+    A page's document is the one whose doc_id is the last number of its url's path. The pages are chosen by
+    their ids alone; of a page_id or doc_id in several rows the least text is taken, so that its
+    copies take no other one's place.
     """
-    sample = (
-        pages.select(F.col(f"`{page_id}`").alias("_page"), F.col(f"`{url}`").alias("_url"), F.col(f"`{html}`").alias("_html"))
-        .where((F.length("_html") > 0) & (F.length("_html") < 40_000)).select(
-            "_page", "_html", F.expr(r"try_cast(regexp_extract(split(_url, '[?#]')[0], '([0-9]+)[^0-9]*$', 1) as bigint)").alias("_doc"))
-        .orderBy(F.xxhash64("_page"), "_page").limit(max_pages))
-    rows = sample.collect()  # max_pages rows at most
+    rows_of = pages.select(F.col(f"`{page_id}`").alias("_page"), F.col(f"`{url}`").alias("_url"), F.col(f"`{html}`").alias("_html")).where(
+        F.col("_page").isNotNull() & (F.length("_html") > 0) & (F.length("_html") < max_page_chars))
+    chosen = [r["_page"] for r in rows_of.select("_page").distinct().orderBy(F.xxhash64("_page"), "_page").limit(max_pages).collect()]
+    rows = rows_of.where(F.col("_page").isin(chosen)).groupBy("_page").agg(F.min(F.struct("_html", "_url")).alias("_row")).select(
+        "_page", "_row._html",
+        F.expr(r"try_cast(regexp_extract(split(_row._url, '[?#]')[0], '([0-9]+)[^0-9]*$', 1) as bigint)").alias("_doc")).collect() if chosen else []
     wanted = sorted({r["_doc"] for r in rows if r["_doc"] is not None})
     texts_of = {} if not wanted else {
         r["_id"]: r["_text"] or "" for r in docs.select(F.col(f"`{doc_id}`").cast("long").alias("_id"), F.col(f"`{text}`").alias("_text"))
-        .where(F.col("_id").isin(wanted)).limit(4 * max_pages).collect()}
+        .where(F.col("_id").isin(wanted)).groupBy("_id").agg(F.min("_text").alias("_text")).collect()}
     known, labels = [], []
     for row in sorted(rows, key=lambda r: (str(r["_page"]), r["_html"])):
         page = leaves(row["_html"])
