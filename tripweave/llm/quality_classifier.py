@@ -99,12 +99,10 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.where(length > 0, length, 1)
 
 
-def fit_rows(texts: list[str], labels: list[int], dimensions: int = 64) -> QualityModel:
-    """The decomposition and the labelled vectors, from rows on the driver."""
-    if not texts:
+def fit_rows(counts: np.ndarray, labels: list[int], dimensions: int = 64) -> QualityModel:
+    """The decomposition and the labelled vectors, from the terms of the labelled rows."""
+    if not len(counts):
         return QualityModel(np.zeros((N_TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0))
-    parts = [term_counts(pa.array(texts[i:i + 256], pa.string())) for i in range(0, len(texts), 256)]
-    counts = np.concatenate(parts)
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 0.1
     weighted = _unit(counts * idf.astype(np.float32))
     # Left to right: a randomised decomposition with two power rounds, seeded.
@@ -130,10 +128,27 @@ def fit(
     rows = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
     # The chosen rows number max_labelled at most, a proven bound for the broadcast and the collect:
     # of a repeated id one text is taken, so that its copies take no other id's place.
-    sample = (
-        rows.join(F.broadcast(chosen), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
-        .orderBy(F.xxhash64("_id"), "_id", "_label").collect())
-    return fit_rows([r["_text"] or "" for r in sample], [r["_label"] for r in sample])
+    # Terms are counted by the executors; the driver gets at most N_TERMS numbers a row, whatever its text's length.
+    texts = rows.join(F.broadcast(chosen), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text")).select(
+        F.xxhash64("_id").alias("_hash"), F.col("_id").cast("string").alias("_name"), F.col("_label").cast("int").alias("_label"), "_text")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _parts(batch, "_text"):
+                terms = term_counts(part.column("_text"))
+                found = [np.flatnonzero(row) for row in terms]
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in ("_hash", "_name", "_label")),
+                     pa.array([f.astype(np.uint16).tobytes() for f in found], pa.binary()),
+                     pa.array([row[f].tobytes() for row, f in zip(terms, found)], pa.binary())],
+                    names=["_hash", "_name", "_label", "places", "weights"])
+
+    sample = texts.mapInArrow(counted, "_hash long, _name string, _label int, places binary, weights binary").collect()
+    sample.sort(key=lambda r: (r["_hash"], r["_name"], r["_label"]))
+    counts = np.zeros((len(sample), N_TERMS), np.float32)
+    for row, r in zip(counts, sample):
+        row[np.frombuffer(r["places"], np.uint16)] = np.frombuffer(r["weights"], np.float32)
+    return fit_rows(counts, [r["_label"] for r in sample])
 
 
 def scores_of(column: pa.Array, model: QualityModel) -> np.ndarray:
@@ -161,15 +176,15 @@ def score_column(docs: DataFrame, model: QualityModel, text: str = "text") -> Co
     @F.arrow_udf("double")
     def scored(column: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([column], names=["text"])
-        found = [scores_of(part.column("text"), sent.value) for part in _parts(batch)]
+        found = [scores_of(part.column("text"), sent.value) for part in _parts(batch, "text")]
         return pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
 
     return scored(F.col(f"`{text}`"))
 
 
-def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def _parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """Slices bounded in bytes and in rows, as each row has a dense term vector."""
-    for part in slices([batch], "text"):
+    for part in slices([batch], column):
         for start in range(0, part.num_rows, 512):
             yield part.slice(start, 512)
 

@@ -67,12 +67,54 @@ def op3_hypergeometric_sharding(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-@query()
+@query(r"""
+    with recursive d as (
+        select row_number() over () as id, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+    u as (select id, unnest(w) as w, unnest(range(len(w))) as i from d where len(w) >= 5),
+    five as (
+        select id, w || ' ' || lead(w) over s || ' ' || lead(w, 2) over s || ' ' || lead(w, 3) over s || ' ' || lead(w, 4) over s as s
+        from u window s as (partition by id order by i)),
+    shingle as (
+        select distinct id, s from five where s is not null
+        union all select id, array_to_string(w, ' ') from d where len(w) between 1 and 4),
+    size as (select id, count(*) as n from shingle group by id),
+    common as (select a.id as a, b.id as b, count(*) as c from shingle a join shingle b on a.s = b.s and a.id < b.id group by all),
+    link as (
+        select a, b from common join size x on x.id = a join size y on y.id = b where 100 * c >= 75 * (x.n + y.n - c)),
+    both_ as (select a, b from link union all select b, a from link),
+    reach(id, other) as (select id, id from d union select r.id, k.b from reach r join both_ k on k.a = r.other),
+    least as (select r.id, min(o.doc_id) as component_id from reach r join d o on o.id = r.other group by r.id)
+    select d.doc_id, cast(coalesce(n, 0) as bigint) as n_shingles, component_id
+    from d join least l on l.id = d.id left join size s on s.id = d.id""")
 def op4_shingle_join(spark, sf_dir):
     return shingle_join.find_groups(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(r"""
+    with d as (
+        select row_number() over () as id, doc_id, coalesce(text, '') as t,
+            list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+    u as (select id, unnest(w) as w, unnest(range(len(w))) as i from d),
+    three as (
+        select id, i, w || ' ' || lead(w) over s || ' ' || lead(w, 2) over s as s from u window s as (partition by id order by i)),
+    again as (select id, i from three where s is not null qualify count(*) over (partition by id, s) > 1),
+    repeat_ as (select id, count(distinct j) as n from (select id, unnest([i, i + 1, i + 2]) as j from again) group by id),
+    line as (select id, unnest(string_split(t, chr(10))) as line from d),
+    lines as (
+        select id, count(*) as n_lines, count(*) filter (where regexp_matches(line, '[^\x20\x09-\x0D]'))
+            - count(distinct line) filter (where regexp_matches(line, '[^\x20\x09-\x0D]')) as n_dup from line group by id),
+    c as (
+        select doc_id, len(w) as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as word_chars,
+            len(regexp_extract_all(t, '[#*$%&|<>]')) as n_symbols, n_dup as n_dup_lines, coalesce(r.n, 0) as n_repeat_words,
+            n_lines, len(regexp_extract_all(t, '\p{Lu}')) as capitals
+        from d join lines l on l.id = d.id left join repeat_ r on r.id = d.id),
+    b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from c)
+    select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols,
+        cast(n_dup_lines as bigint) as n_dup_lines, cast(n_repeat_words as bigint) as n_repeat_words, base_failed,
+        not base_failed and 100 * n_symbols <= 30 * n_words and 100 * n_dup_lines <= 50 * n_lines and 100 * capitals <= 60 * word_chars
+            and word_chars >= 1.5 * n_words and word_chars <= 20 * n_words as kept
+    from b""")
 def op5_quality_cascade(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
