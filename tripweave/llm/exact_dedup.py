@@ -68,11 +68,15 @@ def _found(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         finished.append(dealt.where(~F.col("_goes_on")).drop("_rest", "_goes_on"))
         if groups.where(~F.col("_ended")).isEmpty():
             break
-        going_on = dealt.where("_goes_on").withColumn("_group", F.col("_set.n"))
-        if not round_number:  # the texts of these rows only
-            texts = row_keys.marked(docs, going_on, [content], kept=True)
-            going_on = going_on.join(texts.select(*KEY, F.expr(f"substring(_c0, {width + 1})").alias("_rest")), list(KEY))
-        width, round_number = min(width * CHUNK_GROWTH, WIDEST_CHUNK_BYTES), round_number + 1
+        if round_number:
+            going_on = dealt.where("_goes_on").withColumn("_group", F.col("_set.n"))
+            width = min(width * CHUNK_GROWTH, WIDEST_CHUNK_BYTES)
+        else:  # now the texts of these rows, from their start: that names their group too
+            width *= 1 + CHUNK_GROWTH
+            going_on = row_keys.marked(docs, dealt.where("_goes_on"), [F.col(f"`{doc_id}`"), content], kept=True).select(
+                *KEY, F.col("_c0").alias("doc_id"), F.unhex(F.sha2("_c1", 256)).alias("_sha"), F.lit(0).cast("long").alias("_group"),
+                F.col("_c1").alias("_rest"))
+        round_number += 1
         keyed = going_on.select(  # every byte travels once in a round: in the chunk, or in what is left behind it
             *KEY, "doc_id", "_sha", "_group", F.substring("_rest", 1, width).alias("_chunk"), (F.octet_length("_rest") <= width).alias("_ended"),
             F.expr(f"substring(_rest, {width + 1})").alias("_rest"))

@@ -33,9 +33,10 @@ def keys():
 def marked(rows: DataFrame, chosen: DataFrame, columns: list, kept: bool) -> DataFrame:
     """``columns`` of those rows (from files) whose key is among ``chosen`` (``kept``) or is not."""
     place = F.col("_index") + 1
-    bitmaps = chosen.groupBy("_file", F.bitmap_bucket_number(place).alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits")).select(
-        F.col("_file").alias("_marked_file"), F.col("_bucket").alias("_marked_bucket"), "_bits")
+    bitmaps = store(  # written first, so that Spark knows their size before it plans the join
+        chosen.groupBy("_file", F.bitmap_bucket_number(place).alias("_bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits")).select(
+            F.col("_file").alias("_marked_file"), F.col("_bucket").alias("_marked_bucket"), "_bits"), "marks")
     names = [f"_c{i}" for i in range(len(columns))]  # any column names may come in
     named = rows.select(*[c.alias(n) for c, n in zip(columns, names)], *keys())
     at = F.bitmap_bit_position(F.col("_index") + 1)

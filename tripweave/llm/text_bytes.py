@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 2_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -30,6 +31,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
             start = stop
 
 
+def release() -> None:
+    """Hand freed memory back to the system: worker processes live on and serve other operators."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def texts(part: pa.RecordBatch, column: str) -> list[str]:
     return [t or "" for t in part.column(column).to_pylist()]
 
@@ -125,7 +134,7 @@ def shingle_sets(column: pa.Array, size: int = 5) -> tuple[np.ndarray, np.ndarra
     column is worked through in slices, as the hashing holds some 50 bytes per byte of text.
     """
     batch = pa.RecordBatch.from_arrays([column], names=["text"])
-    parts = [_shingle_sets(part.column("text"), size) for part in slices([batch], "text")]
+    parts = [_shingle_sets(part.column("text"), size) for part in slices([batch], "text", SLICE_BYTES // 2)]
     if not parts:
         return np.zeros(0, np.uint64), np.zeros(1, np.int64)
     sizes = np.concatenate([np.diff(where) for _, where in parts])
