@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm.bpe import encoder_of
-from tripweave.llm.text_bytes import slices, texts
+from tripweave.llm.text_bytes import release, slices, texts
 from tripweave.sinks.files import store
 
 
@@ -74,6 +74,7 @@ def token_pieces(
                 [part.column("doc_id").take(pa.array(row, pa.int32())), pa.array(pieces),
                  pa.array(pieces.astype(np.int64) * max_tokens), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        release()
 
     return rows.mapInArrow(cut, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long")
 

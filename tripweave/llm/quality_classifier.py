@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.text_bytes import raw, slices, word_hashes, word_spans
+from tripweave.llm.text_bytes import raw, release, slices, word_hashes, word_spans
 
 PAIR_BUCKETS = 4096
 _SHAPES = 10 * 10 * 16
@@ -142,6 +142,7 @@ def fit(
                      pa.array([f.astype(np.uint16).tobytes() for f in found], pa.binary()),
                      pa.array([row[f].tobytes() for row, f in zip(terms, found)], pa.binary())],
                     names=["_hash", "_name", "_label", "places", "weights"])
+        release()
 
     sample = texts.mapInArrow(counted, "_hash long, _name string, _label int, places binary, weights binary").collect()
     sample.sort(key=lambda r: (r["_hash"], r["_name"], r["_label"]))
@@ -177,6 +178,7 @@ def score_column(docs: DataFrame, model: QualityModel, text: str = "text") -> Co
     def scored(column: pa.Array) -> pa.Array:
         batch = pa.RecordBatch.from_arrays([column], names=["text"])
         found = [scores_of(part.column("text"), sent.value) for part in _parts(batch, "text")]
+        release()
         return pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
 
     return scored(F.col(f"`{text}`"))
