@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm.bpe import encoder_of
-from tripweave.llm.text_bytes import release, slices, texts
+from tripweave.llm.text_bytes import SLICE_BYTES, release, slices, texts
 from tripweave.sinks.files import store
 
 
@@ -59,7 +59,7 @@ def token_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path, False)
-        for part in slices(batches, "_text"):
+        for part in slices(batches, "_text", SLICE_BYTES // 2):
             row, piece, length, crc = [], [], [], []
             for i, ids in enumerate(encoder.encode_batch(texts(part, "_text"))):
                 ids += closing

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.text_bytes import raw, release, slices, word_hashes, word_spans
+from tripweave.llm.text_bytes import SLICE_BYTES, raw, release, slices, word_hashes, word_spans
 
 PAIR_BUCKETS = 4096
 _SHAPES = 10 * 10 * 16
@@ -186,7 +186,7 @@ def score_column(docs: DataFrame, model: QualityModel, text: str = "text") -> Co
 
 def _parts(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """Slices bounded in bytes and in rows, as each row has a dense term vector."""
-    for part in slices([batch], column):
+    for part in slices([batch], column, SLICE_BYTES // 4):
         for start in range(0, part.num_rows, 512):
             yield part.slice(start, 512)
 

@@ -134,7 +134,7 @@ def shingle_sets(column: pa.Array, size: int = 5) -> tuple[np.ndarray, np.ndarra
     column is worked through in slices, as the hashing holds some 50 bytes per byte of text.
     """
     batch = pa.RecordBatch.from_arrays([column], names=["text"])
-    parts = [_shingle_sets(part.column("text"), size) for part in slices([batch], "text", SLICE_BYTES // 2)]
+    parts = [_shingle_sets(part.column("text"), size) for part in slices([batch], "text", SLICE_BYTES // 4)]
     if not parts:
         return np.zeros(0, np.uint64), np.zeros(1, np.int64)
     sizes = np.concatenate([np.diff(where) for _, where in parts])
