@@ -57,8 +57,10 @@ def joined_class_counts(
     """Trips per weather class, by the time of the weather reading and allowed stations.
 
     Trips without a reading have no such time and drop out. The dates also bound the trips' own time, by
-    the tolerance of the join, and their ``day`` where the trips are partitioned by it.
+    the tolerance of the join, and their ``day`` where the trips are partitioned by it; rows that do
+    not carry the trip's ``time`` are judged by the reading alone.
     """
-    near = implied_by_reading(joined, "time", start, end, tolerance_seconds, day)
-    kept = with_both_ends_in(between_dates(near, "date_time", start, end), allowed_stations)
+    if "time" in joined.columns:
+        joined = implied_by_reading(joined, "time", start, end, tolerance_seconds, day)
+    kept = with_both_ends_in(between_dates(joined, "date_time", start, end), allowed_stations)
     return counts_by(kept, "weather_class")
