@@ -21,7 +21,7 @@ from tripweave.functions import (
 )
 from tripweave.schemas import STATIONS, TRIP_MESSAGE
 from tripweave.session import shared_folder
-from tripweave.sinks import json_messages, keyed_json_messages, write_by_day, write_parquet
+from tripweave.sinks import json_messages, keyed_json_messages, write_bucketed, write_by_day, write_parquet
 from tripweave.sources import append_rows, read_csv, read_parquet
 from tripweave.streaming import decode_messages
 
@@ -308,6 +308,15 @@ def enrich_trips(spark, sf_dir):
     return views.enriched(spark, sf_dir)
 
 
+@query("select * from enriched", "enriched")
+def enrich_trips_bucketed(spark, sf_dir):
+    """Trips bucketed by both ends, so that the look-ups leave them in place."""
+    path = shared_folder(spark, "bucketed-trips")
+    name = "trips_" + path.rsplit("-", 1)[1]
+    trips = write_bucketed(views.trips(spark, sf_dir), name, ["start_station_id", "end_station_id"], 8, path)
+    return plans.enrich_by_pairs(trips, views.stations(spark, sf_dir))
+
+
 @query(f"""
     select a.id as "id_A", a.lat as "lat_A", a.long as "long_A", b.id as "id_B", b.lat as "lat_B", b.long as "long_B",
            {haversine('a.long', 'a.lat', 'b.long', 'b.lat')} as abs_distance

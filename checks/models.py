@@ -172,4 +172,73 @@ def ml_scenarios(spark, sf_dir):
     return ml.score_scenarios(model, mild)
 
 
+# Planted labels: one split of the hour reproduces them, so a right fit must return them whole, and
+# the rounds after the first have nothing left to learn.
+_PLANTED_SQL = "case when hour >= 12 then 30e0 else 10e0 end"
+_PLANTED_ROUNDS = 3
+
+
+def _planted(rows):
+    return rows.withColumn("label", F.when(F.col("hour") >= 12, 30.0).otherwise(10.0))
+
+
+def _planted_city(spark, sf_dir):
+    panel = _planted(labelled_city(spark, sf_dir))
+    train, test = ml.split_where(store(panel, "planted-city"), in_training_part())
+    return ml.fit_city_model(train, rounds=_PLANTED_ROUNDS, seed=SEED), test
+
+
+def _planted_station(spark, sf_dir):
+    cells = _planted(views.observed_panel(spark, sf_dir).na.drop("any"))
+    train, test = ml.split_where(store(cells, "planted-cells"), in_training_part())
+    return ml.fit_station_model(train, rounds=_PLANTED_ROUNDS, seed=SEED), train, test
+
+
+@query(f"""
+    select hour, dayofyear, {_PLANTED_SQL} as label, {_PLANTED_SQL} as prediction from hours
+    where air_temp is not null and (dayofyear * 24 + hour) * 7919 % 10 >= 7""", "hours")
+def ml_score_planted(spark, sf_dir):
+    """Fit, save, load and score the city model: held-out hours get back the planted labels."""
+    model, test = _planted_city(spark, sf_dir)
+    path = shared_folder(spark, "planted-model")
+    ml.save_model(model, path)
+    scored = ml.score(ml.load_model(path), test)
+    return rounded(scored.select("hour", "dayofyear", "label", "prediction"), "prediction")
+
+
+@query(f"""
+    select hour, dayofyear, {_PLANTED_SQL} as prediction from hours
+    where air_temp is not null and (dayofyear * 24 + hour) * 7919 % 10 >= 7""", "hours")
+def ml_tree_walk(spark, sf_dir):
+    """The same by a walk of the saved trees, without the model's scorer."""
+    model, test = _planted_city(spark, sf_dir)
+    path = shared_folder(spark, "planted-model")
+    ml.save_model(model, path)
+    return rounded(ml.walk_trees(ml.assemble_city(test), path, "hour", "dayofyear"), "prediction")
+
+
+@query("""
+    select case when (dayofyear * 24 + hour) * 7919 % 10 < 7 then 'train' else 'test' end as part, count(*) as n,
+           1e0 as r2, 0e0 as rmse
+    from observed where air_temp is not null group by part""", "observed")
+def ml_train_station_planted(spark, sf_dir):
+    model, train, test = _planted_station(spark, sf_dir)
+    parts = [ml.regression_metrics(ml.score(model, rows)).withColumn("part", F.lit(part))
+             for part, rows in (("train", train), ("test", test))]
+    return rounded(parts[0].unionByName(parts[1]), "r2", "rmse")
+
+
+@query(f"""
+    select hour, dayofyear, month, 14e0 as air_temp, 10e0 as wind_speed, 10e0 as visibility, 'clear' as weather_class,
+           station, cast({_PLANTED_SQL} as int) as predicted_count
+    from observed where air_temp is not null""", "observed")
+def ml_scenarios_planted(spark, sf_dir):
+    """Scenarios of every cell, one row for each: the planted labels don't ask for the weather."""
+    model, train, test = _planted_station(spark, sf_dir)
+    mild = train.unionByName(test).select(
+        "hour", "dayofyear", "month", F.lit(14.0).alias("air_temp"), F.lit(10.0).alias("wind_speed"),
+        F.lit(10.0).alias("visibility"), F.lit("clear").alias("weather_class"), "station")
+    return ml.score_scenarios(model, mild)
+
+
 QUERIES, ORACLES = batch.QUERIES, batch.ORACLES

@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.fixed_values import (
-    CLEAR_CLASS, EARTH_RADIUS_KM, OTHER_WEATHER_CODE, WEATHER_CLASS_CODES,
-    WEATHER_CLASS_PATTERNS, WEATHER_TOLERANCE_SECONDS,
+    WEATHER_TOLERANCE_SECONDS,
 )
 from tripweave.functions import celsius, weather_class
 from tripweave.operators import used_ids
@@ -155,17 +154,38 @@ def dense_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- SQL
 
+# Fixed values, written apart from the library's so that a wrong one there shows. Steps overwrite each other
+# in this order: the first four look at the summary, the next four at the class so far.
+_SUMMARY_STEPS = (
+    ("clear|scattered|sunny|obscured", "clear"),
+    ("broken|overcast|cloudy", "cloudy"),
+    ("rain|drizzle", "light rain"),
+    ("heavy (drizzle|rain)|heavy_rain", "heavy rain"),
+)
+_CLASS_STEPS = (
+    ("snow", "snowy"),
+    ("ice", "icy"),
+    ("thunder|squalls", "stormy"),
+    ("haze|mist|fog", "foggy"),
+)
+
+
 def class_case(summary: str) -> str:
-    rules = "".join(
-        f" when regexp_matches({summary}, '{pattern}') then '{label}'"
-        for pattern, label in WEATHER_CLASS_PATTERNS
-    )
-    return f"case when {summary} is null then '{CLEAR_CLASS}'{rules} else {summary} end"
+    """The ninth step comes first in the text, as it overwrites all others."""
+    found = summary
+    for pattern, label in _SUMMARY_STEPS:
+        found = f"case when regexp_matches({summary}, '{pattern}') then '{label}' else {found} end"
+    for pattern, label in _CLASS_STEPS:
+        found = f"(select case when regexp_matches(x, '{pattern}') then '{label}' else x end from (select {found} as x))"
+    return f"case when {summary} is null then 'clear' else {found} end"
 
 
 def code_case(label: str) -> str:
-    rules = "".join(f" when {label} = '{name}' then {code}e0" for name, code in WEATHER_CLASS_CODES.items())
-    return f"case when {label} is null then null{rules} else {OTHER_WEATHER_CODE}e0 end"
+    return (
+        f"case {label} when 'clear' then 0e0 when 'cloudy' then 1e0 when 'light rain' then 2e0 when 'heavy rain' then 3e0"
+        f" when 'snowy' then 4e0 when 'icy' then 5e0 when 'stormy' then 6e0 when 'foggy' then 7e0"
+        f" else case when {label} is not null then 8e0 end end"
+    )
 
 
 def haversine(long_a: str, lat_a: str, long_b: str, lat_b: str) -> str:
@@ -174,7 +194,7 @@ def haversine(long_a: str, lat_a: str, long_b: str, lat_b: str) -> str:
         f" * cos(radians({lat_b})) * pow(sin((radians({long_b}) - radians({long_a})) / 2), 2)"
     )
     return (
-        f"cast(abs(round_even(2 * asin(sqrt(case when {chord} > 1 then 1e0 else {chord} end)) * {EARTH_RADIUS_KM} * 1000, 0))"
+        f"cast(abs(round_even(2 * asin(sqrt(case when {chord} > 1 then 1e0 else {chord} end)) * 6371e0 * 1000, 0))"
         f" as bigint)"
     )
 

@@ -109,3 +109,23 @@ def test_index_of_a_million_labels(spark):
     assert found.where("station is not null").where(F.col("number") != first).isEmpty() and found.count() == 1_000_001
     assert [r["number"] for r in found.where("station is null").collect()] == [1_000_000.0]
     assert ml.apply_index(rows.limit(3), ml.fit_index(rows.limit(0), "station"), "station", "n").select("n").distinct().collect()[0][0] == 0.0
+
+
+def test_walk_of_saved_trees_equals_the_models_scores(spark, panel, tmp_path):
+    key = ["hour", "dayofyear", "month", "station", "label"]
+    rows = panel.na.drop().dropDuplicates(key)
+    labelled = rows.withColumn("label", F.col("label") + 20.0 * (F.col("weather_class") == "foggy").cast("int"))
+    path = str(tmp_path / "trees")
+    model = ml.fit_station_model(labelled, rounds=4, seed=2)
+    ml.save_model(model, path)
+    scored = ml.score(model, labelled)
+    walked = ml.walk_trees(scored, path, *key).withColumnRenamed("prediction", "walked")
+    both = scored.join(walked, key)
+    assert both.count() == labelled.count() > 500
+    assert both.where(F.abs(F.col("prediction") - F.col("walked")) > 1e-9).isEmpty()
+    nodes = ml.tree_nodes(spark, path)
+    assert nodes.where("categories is not null").count() > 0 and nodes.where("threshold is not null").count() > 0
+    assert nodes.where("left is null and (feature is not null or right is not null)").isEmpty()
+    use = {r.feature: r.splits for r in ml.feature_use(spark, path, ["hour"]).collect()}
+    assert use["hour"] > 0 and sum(use.values()) == nodes.where("left is not null").count()
+    assert ml.walk_trees(scored.limit(0), path, *key).count() == 0

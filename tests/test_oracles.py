@@ -45,3 +45,16 @@ def test_every_oracle_has_a_query():
 
 def test_entry_returns_rows(spark):
     assert entry_module.entry(spark).columns == ["weather_class", "count"]
+
+
+@pytest.mark.parametrize("left_out", range(8))
+def test_sql_of_weather_classes_finds_a_missing_rule(spark, database, monkeypatch, left_out):
+    """The SQL has constants of its own: without any one of the library's rules the two differ."""
+    from tripweave.functions import weather
+
+    rules = weather.WEATHER_CLASS_PATTERNS
+    assert len(rules) == 8
+    monkeypatch.setattr(weather, "WEATHER_CLASS_PATTERNS", (*rules[:left_out], *rules[left_out + 1:]))
+    actual = entry_module.queries()["classify_weather"](spark, DATA).toPandas()
+    expected = database.execute(entry_module.oracle_sql()["classify_weather"]).fetch_df()
+    assert as_rows(actual) != as_rows(expected)

@@ -98,3 +98,17 @@ def test_profile_reads_the_trips_once(spark, tmp_path):
 def test_neighbours_meet_by_cells(spark):
     plan = plan_of(entry_module.queries()["station_neighbours"](spark, DATA))
     assert "_to_row" in plan and "NestedLoop" not in plan
+
+
+def test_trips_bucketed_by_both_ends_stay_in_place(spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = entry_module.queries()["enrich_trips_bucketed"](spark, DATA)
+        plan = plan_of(frame)
+        plain = plan_of(entry_module.queries()["enrich_trips"](spark, DATA))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange hashpartitioning") == 1  # that of the pairs
+    assert "Bucketed: true" in plan and "Broadcast" not in plan
+    assert plain.count("Exchange hashpartitioning") >= 4

@@ -9,6 +9,7 @@ from tripweave.fixed_values import WEATHER_TOLERANCE_SECONDS
 from tripweave.functions import haversine_metres
 from tripweave.operators.asof import asof_join
 from tripweave.operators.grid import distinct_pairs, near_pairs
+from tripweave.sinks.files import store
 
 
 def enrich_trips(trips: DataFrame, stations: DataFrame) -> DataFrame:
@@ -31,6 +32,19 @@ def enrich_trips(trips: DataFrame, stations: DataFrame) -> DataFrame:
     ))
 
 
+def enrich_by_pairs(trips: DataFrame, stations: DataFrame) -> DataFrame:
+    """The rows of ``enrich_trips`` by one join on both ends, with a stored table of the pairs that trips connect.
+
+    Two look-ups by one end each move the trips twice. Here only the pairs are looked up (one row each, written
+    to the shared folder when this is called), and trips bucketed by both ends (see ``write_bucketed``) stay in place,
+    whether the pairs are broadcast or not.
+    """
+    ends = ["start_station_id", "end_station_id"]
+    pairs = store(enrich_trips(trips.select(*ends).distinct(), stations), "station-pairs")
+    joined = trips.join(pairs, ends)
+    return joined.select(*trips.columns, *[name for name in pairs.columns if name not in ends])
+
+
 def add_weather(
     trips: DataFrame,
     weather: DataFrame,
