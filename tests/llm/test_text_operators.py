@@ -210,14 +210,3 @@ def test_a_hot_id_takes_no_other_place(rows):
 
     learned = dict(language_id.fit(docs, docs_per_language=40).dictionaries)
     assert learned["en"].count(b"copies") == 2 and learned["en"].count(b"number") == 38 and learned["de"].count(b"number") == 9
-
-
-def test_url_labels_leave_unknown_hosts_out(rows):
-    shown = {"good.net": range(1, 7), "bad.net": range(11, 17), "few.net": range(21, 23), "unknown.net": [999], "casino-a.net": range(1, 7)}
-    pages = rows.of("page_id long, url string", *((i, f"https://{h}/en/{i}?p=3") for h, ids in shown.items() for i in ids),
-                    *[(1, "https://good.net/en/11")] * 9, (2, None), (3, "no scheme 1"), (4, "https://none.net/"))
-    labels = rows.of("doc_id long, quality int, toxic int", *((i, 1, 0) for i in range(1, 7)), *((i, 0, 0) for i in range(11, 14)),
-                     *((i, 1, 1) for i in range(14, 17)), (21, 0, 1), (22, 0, 1), (None, 0, 1))
-    got = {url_filter._split(u)[0]: label for u, label in url_filter.weakly_labelled(pages, labels)}
-    assert got == {"good.net": 0, "bad.net": 1, "casino-a.net": 1}
-    assert url_filter.weakly_labelled(pages.limit(0), labels) == []

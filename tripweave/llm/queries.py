@@ -46,8 +46,9 @@ URL_RULES = [
 @query()
 def op1_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    model = url_filter.fit(url_filter.SEED_URLS + url_filter.weakly_labelled(pages, table(spark, sf_dir, "labels")))
-    return url_filter.judge(pages, model, URL_RULES)
+    labelled = url_filter.SEED_URLS + url_filter.labelled_by_documents(pages, table(spark, sf_dir, "labels"))
+    threshold = url_filter.blocking_threshold(labelled)
+    return url_filter.judge(pages, url_filter.fit(labelled), URL_RULES, threshold=threshold)
 
 
 @query()

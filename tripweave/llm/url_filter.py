@@ -1,8 +1,9 @@
 """URL filter: logistic regression on hashed character n-grams of host and path, under rules.
 
-The model is fitted from a small labelled URL table (at most ``max_labelled`` rows, collected to
+The model is fitted from a small labelled URL table given by the caller (``SEED_URLS`` is one of twenty
+kinds of sites; hosts known by their documents may be added, at most ``max_labelled`` rows, collected to
 the driver: a documented bound) and sent to the tasks as one weight per hash bucket. Judging is
-a map over the rows. A rule names a host and a path prefix and, where the longest fitting rule
+a map over the rows; memory per url grows with its length, as all its n-grams are hashed. A rule names a host and a path prefix and, where the longest fitting rule
 exists, decides instead of the model.
 
 Defined results: null, empty and malformed urls (no ``://``) have empty host and path, fit no
@@ -21,20 +22,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A small labelled URL table for a start without labels of one's own (fixed values): 1 is blocked.
-SEED_URLS = [
-    ("https://spam-farm.example.com/", 1), ("http://www.spam-farm.example.org/en/1", 1),
-    ("https://casino-win.example.com/", 1), ("http://m.casino-win.example.net/de/2", 1),
-    ("https://cheap-pills.example.com/", 1), ("http://blog.cheap-pills.example.org/fr/3", 1),
-    ("https://free-bets.example.com/", 1), ("http://www.free-bets.example.org/es/4", 1),
-    ("https://ads-track.example.com/", 1), ("http://m.ads-track.example.net/en/5", 1),
-    ("https://adult-x.example.com/", 1), ("http://blog.adult-x.example.org/en/6", 1),
-    ("https://news.example.com/en/1", 0), ("http://www.library.example.org/de/2", 0),
-    ("https://blog.garden.example.net/fr/3", 0), ("http://m.weather.example.com/es/4", 0),
-    ("https://station.example.org/en/5.html", 0), ("http://www.history.example.com/en/6#top", 0),
-]
-# Words in a host that mark it as unwanted in a weakly labelled table (fixed values).
-UNWANTED_WORDS = ("spam", "casino", "pills", "bets", "ads-track", "adult")
+from tripweave.llm.labelled_urls import labelled_urls
+
+# The labelled table for a start without labels of one's own.
+SEED_URLS = labelled_urls()
 
 
 @dataclass(frozen=True)
@@ -130,17 +121,45 @@ def score(url: str | None, model: UrlModel) -> float:
     return float(1 / (1 + np.exp(-margin)))
 
 
-def weakly_labelled(
+def site_of(url: str) -> str:
+    """The host without a leading ``www``, ``m`` or ``blog`` and without its last two labels: what names a site."""
+    labels = _split(url)[0].split(".")
+    named = labels[1:] if labels[0] in ("www", "m", "blog") else labels
+    return ".".join(named[:-2] or named)
+
+
+def held_out_scores(labelled: list[tuple[str, int]], folds: int = 10) -> list[tuple[float, int]]:
+    """``score, label`` of every row by a model that has not seen its site (folds by a hash of the site)."""
+    fold = [zlib.crc32(site_of(url).encode("utf-8", "replace")) % folds for url, _ in labelled]
+    found = []
+    for k in sorted(set(fold)):
+        model = fit([row for row, f in zip(labelled, fold) if f != k])
+        found += [(score(url, model), label) for (url, label), f in zip(labelled, fold) if f == k]
+    return found
+
+
+def blocking_threshold(labelled: list[tuple[str, int]], most_false: float = 0.02, folds: int = 10) -> float:
+    """The least score from which at most ``most_false`` of the wanted urls of unseen sites are blocked; 0.5 at least.
+
+    An address of unknown words scores about one half, so a filter that blocks from there on would be a coin.
+    """
+    wanted = sorted((s for s, label in held_out_scores(labelled, folds) if label == 0), reverse=True)
+    allowed = int(most_false * len(wanted))
+    return max(0.5, float(np.nextafter(wanted[allowed], 1))) if len(wanted) > allowed else 0.5
+
+
+def labelled_by_documents(
     pages: DataFrame, labels: DataFrame, url: str = "url", doc_id: str = "doc_id", max_labelled: int = 4_000,
-    least_blocked: int = 5,
+    least_blocked: int = 5, least_z: float = 3.0,
 ) -> list[tuple[str, int]]:
-    """A small labelled table from a page table: at most ``max_labelled`` distinct hosts with one
-    url each, half of the bound for each label, by hash.
-
-    A host is unwanted by its words, or if at least half of the labelled documents that its pages show,
-    ``least_blocked`` or more, are toxic or of low quality. It is wanted if less than half of them are. All
-    other hosts are unknown and left out. A page's document is the one whose doc_id is the last number
-    of its url's path; a document with several labels counts as its worst.
+    """Labelled hosts of a page table by the documents that they show: at most ``max_labelled`` hosts with one
+    url each, half of the bound for each label, by hash. The words of a host play no part.
+
+    A host is unwanted if at least half of its labelled documents, ``least_blocked`` or more, are toxic or of
+    low quality, and wanted if their share is at most half of the share in all documents; in both cases the number
+    must be ``least_z`` standard deviations from what that share would give. All other hosts are unknown and left
+    out. A page's document is the one whose doc_id is the last number of its url's path; a document with several
+    labels counts as its worst.
     """
     shown = (
         pages.select(F.col(f"`{url}`").alias("_url")).where(F.col("_url").contains("://"))
@@ -153,17 +172,20 @@ def weakly_labelled(
                       F.when((F.col("toxic") == 1) | (F.col("quality") == 0), 1)
                       .when(F.col("toxic").isNotNull() | F.col("quality").isNotNull(), 0).alias("_bad"))
         .where(F.col("_doc").isNotNull() & F.col("_bad").isNotNull()).groupBy("_doc").agg(F.max("_bad").alias("_bad")))
-    evidence = (
-        shown.where(F.col("_doc").isNotNull()).join(known, "_doc")
-        .groupBy("_host").agg(F.count(F.lit(1)).alias("_n"), F.sum("_bad").alias("_bad")))
-    mostly_bad = 2 * F.col("_bad") >= F.col("_n")
+    share = known.agg(F.avg("_bad")).first()[0]
+    if share is None or share in (0, 1):
+        return []
+    spread = F.sqrt(F.col("_n") * share * (1 - share))
+    far = (F.col("_bad") - F.col("_n") * share) / spread
     hosts = (
-        shown.groupBy("_host").agg(F.min("_url").alias("_url")).join(evidence, "_host", "left")
-        .withColumn("_label", F.when(F.col("_host").rlike("|".join(UNWANTED_WORDS)), 1)
-                    .when(mostly_bad & (F.col("_bad") >= least_blocked), 1).when(~mostly_bad, 0))
+        shown.where(F.col("_doc").isNotNull()).join(known, "_doc")
+        .groupBy("_host").agg(F.min("_url").alias("_url"), F.count(F.lit(1)).alias("_n"), F.sum("_bad").alias("_bad"))
+        .withColumn("_label", F.when((2 * F.col("_bad") >= F.col("_n")) & (F.col("_bad") >= least_blocked) & (far >= least_z), 1)
+                    .when((F.col("_bad") <= F.col("_n") * share / 2) & (far <= -least_z), 0))
         .where(F.col("_label").isNotNull()))
     half = max_labelled // 2
-    parts = [hosts.where(F.col("_label") == label).orderBy(F.xxhash64("_host")).limit(half) for label in (0, 1)]
+    # One task takes the least of all partitions, so the driver gets no more than the bound.
+    parts = [hosts.where(F.col("_label") == label).orderBy(F.xxhash64("_host")).limit(half).coalesce(1) for label in (0, 1)]
     return [(r["_url"], r["_label"]) for part in parts for r in part.collect()]
 
 
