@@ -131,10 +131,18 @@ def shingle_sets(column: pa.Array, size: int = 5) -> tuple[np.ndarray, np.ndarra
     """Sorted distinct hashes of the word shingles of each row, flat, with the rows' offsets.
 
     A row of 1 to ``size - 1`` words has its whole sequence as one shingle; none has none. The
-    column is worked through in slices, as the hashing holds some 50 bytes per byte of text.
+    column is worked through in slices, as the hashing holds some 50 bytes per byte of text, and a text
+    longer than a slice in pieces, which leaves 40 bytes or so per word of it.
     """
     batch = pa.RecordBatch.from_arrays([column], names=["text"])
-    parts = [_shingle_sets(part.column("text"), size) for part in slices([batch], "text", SLICE_BYTES // 4)]
+    most = SLICE_BYTES // 4
+    parts = []
+    for part in slices([batch], "text", most):
+        if part.num_rows == 1 and (pc.binary_length(part.column("text"))[0].as_py() or 0) > most:
+            flat = _long_shingle_set(part.column("text"), size, most)
+            parts.append((flat, np.array([0, len(flat)], np.int64)))
+        else:
+            parts.append(_shingle_sets(part.column("text"), size))
     if not parts:
         return np.zeros(0, np.uint64), np.zeros(1, np.int64)
     sizes = np.concatenate([np.diff(where) for _, where in parts])
@@ -166,3 +174,59 @@ def _shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
             sets.append(np.zeros(0, np.uint64))
     offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
     return (np.concatenate(sets) if sets else np.zeros(0, np.uint64)), offsets
+
+
+def _long_word_hash(word: np.ndarray, piece: int) -> np.uint64:
+    """``word_hashes`` of one word, summed piece by piece."""
+    up, _ = _power_tables(piece + 1)
+    total = 0
+    for at in range(0, len(word), piece):
+        part = word[at:at + piece]
+        step = int(np.sum(_BYTE_VALUES[_LOWER[part]] * up[:len(part)], dtype=np.uint64))
+        total += step * pow(int(_BASE), at, 1 << 64)
+    return mixed(np.array([(total + len(word)) % (1 << 64)], np.uint64))[0]
+
+
+def _all_word_hashes(data: np.ndarray, piece: int) -> Iterator[np.ndarray]:
+    """Hashes of the words of one text, in order, with pieces that end behind a blank."""
+    start = 0
+    while start < len(data):
+        stop = min(start + piece, len(data))
+        blanks = np.flatnonzero(_SPACE[data[start:stop]])
+        if stop == len(data) or len(blanks):
+            if stop < len(data):
+                stop = start + int(blanks[-1]) + 1
+            part = data[start:stop]
+            first, last, _ = word_spans(part, np.array([0, len(part)], np.int64))
+            yield word_hashes(part, first, last)
+        else:  # a word longer than a piece: it begins here, as pieces end behind a blank
+            while stop < len(data):
+                blanks = np.flatnonzero(_SPACE[data[stop:stop + piece]])
+                if len(blanks):
+                    stop += int(blanks[0])
+                    break
+                stop = min(stop + piece, len(data))
+            yield np.array([_long_word_hash(data[start:stop], piece)], np.uint64)
+        start = stop
+
+
+def _long_shingle_set(column: pa.Array, size: int, piece: int) -> np.ndarray:
+    """The set of ``_shingle_sets`` for one long text."""
+    words = np.concatenate([np.zeros(0, np.uint64), *_all_word_hashes(raw(column)[0], piece)])
+    if len(words) < size:
+        h = np.zeros(1, np.uint64)
+        for word in words:
+            h = mixed(h * _BASE + word)
+        return mixed(h + np.uint64(len(words))) if len(words) else words
+    found = np.zeros(0, np.uint64)
+    parts, held = [], 0
+    for at in range(0, len(words) - size + 1, piece):
+        here = words[at:at + piece + size - 1]
+        rolled = np.zeros(len(here) - size + 1, np.uint64)
+        for k in range(size):
+            rolled = mixed(rolled * _BASE + here[k:len(rolled) + k])
+        parts.append(np.unique(rolled))
+        held += len(parts[-1])
+        if held > len(found) + 8 * piece:
+            found, parts, held = np.unique(np.concatenate([found, *parts])), [], 0
+    return np.unique(np.concatenate([found, *parts]))
