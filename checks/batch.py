@@ -632,6 +632,36 @@ def undefined_usage(spark, sf_dir):
     return plans.reconcile_stations(trips, views.stations(spark, sf_dir))["undefined_names"]
 
 
+_RAW_ENDS_SQL = """
+    select 'start' as "end", "Start station number" as station_id, "Start station" as station_name from raw_trips
+    union all select 'end', "End station number", "End station" from raw_trips"""
+
+
+@query(f"""
+    select 'used' as part, station_id, null as "end", null as station_name, 0 as count from ({_RAW_USED_SQL})
+    union all select 'known', station_id, null, null, 0 from ({_RAW_USED_SQL})
+        where station_id in (select "terminalName" from stations)
+    union all select 'missing', station_id, null, null, 0 from
+        (select station_id from ({_RAW_USED_SQL}) except select "terminalName" from stations)
+    union all select 'start_only', station_id, null, null, 0 from
+        (select station_id from ({_RAW_ENDS_SQL}) where "end" = 'start'
+         except select station_id from ({_RAW_ENDS_SQL}) where "end" = 'end')
+    union all select 'undefined_names', station_id, "end", station_name, count(*) from ({_RAW_ENDS_SQL})
+        where station_id in ({_UNDEFINED}) group by station_id, "end", station_name""", "raw_trips", "stations")
+def reconciliation(spark, sf_dir):
+    """All five tables of the reconciliation, one below the other; a count of 0 where a table has none."""
+    named = {f"{end} station{part}": f"{end.lower()}_station_{name}"
+             for end in ("Start", "End") for part, name in ((" number", "id"), ("", "name"))}
+    trips = views.raw_trips(spark, sf_dir).withColumnsRenamed(named)
+    found = plans.reconcile_stations(trips, views.stations(spark, sf_dir))
+    parts = [rows.select(F.lit(part).alias("part"), *rows.columns) if part == "undefined_names"
+             else rows.select(F.lit(part).alias("part"), "station_id") for part, rows in found.items()]
+    whole = parts[0]
+    for rows in parts[1:]:
+        whole = whole.unionByName(rows, allowMissingColumns=True)
+    return whole.fillna(0, ["count"])
+
+
 @query("select distinct weather_summary_set_1d as weather_summary from raw_weather", "raw_weather")
 def distinct_values(spark, sf_dir):
     return views.raw_weather(spark, sf_dir).select(F.col("weather_summary_set_1d").alias("weather_summary")).distinct()
@@ -667,6 +697,15 @@ def city_hour_panel(spark, sf_dir):
     return rounded(plans.city_hour_panel(views.joined(spark, sf_dir)), *_PANEL_MEANS)
 
 
+@query("""
+    select year(time) as year, hour(time) as hour, dayofyear(time) as dayofyear, month(time) as month, count(*) as count,
+           round(avg(air_temp), 6) as air_temp
+    from joined group by 1, 2, 3, 4""", "joined")
+def city_hour_panel_by_year(spark, sf_dir):
+    panel = plans.city_hour_panel(views.joined(spark, sf_dir), with_year=True)
+    return rounded(panel.select("year", "hour", "dayofyear", "month", "count", "air_temp"), "air_temp")
+
+
 _DENSE_SQL = f"select hour, dayofyear, month, station, count, {_round_sql(*_PANEL_MEANS)}, weather_class from dense"
 
 

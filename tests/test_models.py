@@ -98,6 +98,17 @@ def test_mean_encoding_has_one_feature_for_any_number_of_stations(rows):
         ml.station_stages(encoding="other")
 
 
+def test_width_of_the_station_model_is_checked(spark):
+    panel = spark.range(10_000).selectExpr(
+        "cast(id % 24 as int) hour", "5 dayofyear", "1 month", "concat('s', id % 5000) station", "10.0D air_temp", "5.0D visibility",
+        "2.0D wind_speed", "'clear' weather_class", "cast(id % 3 as double) label").select(*[c.split()[0] for c in PANEL.split(", ")])
+    wide = ml.fit_station_model(panel, rounds=1)
+    assert ml.score(wide, panel).first().features.size == 8
+    few = panel.where("station in ('s1', 's2', 's3')")
+    assert ml.score(ml.fit_station_model(few, rounds=1, most_one_hot=3), few).first().features.size == 7 + 3
+    assert ml.score(ml.fit_station_model(few, rounds=1, most_one_hot=2), few).first().features.size == 8
+
+
 def test_index_of_a_million_labels(spark):
     from pyspark.sql import functions as F
 

@@ -39,11 +39,19 @@ def fit_city_model(
 
 def fit_station_model(
     train: DataFrame, rounds: int = BOOSTING_ROUNDS, seed: int = 0,
-    columns: ModelColumns = ModelColumns(), cache_node_ids: bool = False, encoding: str = "one_hot",
+    columns: ModelColumns = ModelColumns(), cache_node_ids: bool = False, encoding: str | None = None,
+    most_one_hot: int = 1_000,
 ) -> PipelineModel:
     """Model of trips per station and hour; rows with any null are left out of training.
-    For thousands of stations give ``encoding="mean"`` (see ``station_stages``)."""
-    return _fit(station_stages(columns, encoding), train.na.drop("any"), columns, rounds, seed, cache_node_ids)
+
+    With no ``encoding`` named, stations are one-hot up to ``most_one_hot`` of them in the training rows and
+    beyond that their mean label (see ``station_stages``), as trees hold all features of a row densely.
+    """
+    known = train.na.drop("any")
+    if encoding is None:
+        stations = known.select("station").distinct().limit(most_one_hot + 1).count()
+        encoding = "one_hot" if stations <= most_one_hot else "mean"
+    return _fit(station_stages(columns, encoding), known, columns, rounds, seed, cache_node_ids)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
