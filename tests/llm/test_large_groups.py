@@ -51,6 +51,15 @@ def test_a_chain_of_unlike_texts_is_cut_by_shingle(rows):
     assert got == expected
 
 
+def test_links_of_a_large_group_whose_pivots_have_none(rows):
+    for linked in ((7,), (20, 41)):
+        texts = {k: text for k, text in chain(60).items() if k < 60 or k - 60 in linked}
+        docs, held = grouped(rows, texts)
+        assert held.agg(F.max("_postings")).first()[0] > 500
+        got = {r["doc_id"]: r["component_id"] for r in shingle_join.find_groups(docs, group_postings=500).collect()}
+        assert got == brute_groups(texts) and all(got[60 + k] == k for k in linked)
+
+
 def test_common_shingles_go_by_blocks(rows):
     draw = random.Random(2)
     base = [f"b{i}" for i in range(60)]

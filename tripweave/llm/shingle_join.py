@@ -350,7 +350,8 @@ def _large_group_links(held: DataFrame, group_postings: int, n_pivots: int = 4)
     sizes = placed.where(F.col("_set").isNotNull()).groupBy("root", "_set").count()
     main = sizes.groupBy("root").agg(F.max_by("_set", F.struct("count", "_set")).alias("_main"))
     marked = store(
-        placed.join(main, "root", "left").withColumn("_rest", ~F.col("_set").eqNullSafe(F.col("_main")))
+        # Unlinked classes have no set, and a group without any link to its pivots no largest one: all are the rest.
+        placed.join(main, "root", "left").withColumn("_rest", ~F.coalesce(F.col("_set") == F.col("_main"), F.lit(False)))
         .select("root", "class", "n", "hashes", "_rest", "_postings"), "large-sets")
     dealt = units(marked, group_postings).withColumn("_block", F.pmod(F.xxhash64("class"), F.col("_blocks")).cast("int"))
     # A block of the rest meets every block of its unit; what is in the largest set is connected.
