@@ -205,3 +205,17 @@ def test_near_pairs_hold_all_neighbours(rows):
             sound = places[:-1]
             assert got == {(a[0], b[0]) for a in sound for b in sound if a[0] != b[0] and metres(a, b) <= radius}
     assert plans.station_neighbours(frame.limit(0), 1000).count() == 0
+
+
+def test_a_crowded_cell_is_met_by_many_tasks(rows):
+    from tripweave.operators.grid import near_pairs
+
+    # 700 rows in one place, two ids twice, and a few around it: all pairs but those of one id.
+    places = [(f"s{i % 698}", 38.5, -77.0) for i in range(700)] + [(f"t{i}", 38.5 + i / 10, -77.0) for i in range(-9, 10)]
+    frame = rows.of("id string, lat double, long double", *places).coalesce(1)
+    met = near_pairs(frame, "id", 15_000, block_rows=64, task_pairs=5_000).withColumn("_task", F.spark_partition_id())
+    shares = [r["count"] for r in met.groupBy("_task").count().collect()]
+    assert len(shares) > 50 and max(shares) < sum(shares) / 10
+    near = met.where(F.abs(F.col("lat_A") - F.col("lat_B")) <= 0.11)
+    got = sorted((r["id_A"], r["id_B"]) for r in near.select("id_A", "id_B").collect())
+    assert got == sorted((a[0], b[0]) for a in places for b in places if a[0] != b[0] and abs(a[1] - b[1]) <= 0.11)

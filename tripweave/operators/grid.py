@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.fixed_values import EARTH_RADIUS_KM
+from tripweave.sinks.files import store
+
+_BLOCK_ROWS = 2048
+_TASK_PAIRS = 4_000_000
+_MOST_TASKS = 20_000  # each takes more meetings beyond that
 
 
 def _blocks(table: DataFrame, blocks: int | None) -> int:
@@ -59,32 +64,56 @@ def distinct_pairs(
 
 def near_pairs(
     table: DataFrame, id_name: str, radius_metres: float, suffixes: tuple[str, str] = ("_A", "_B"),
-    lat: str = "lat", long: str = "long",
+    lat: str = "lat", long: str = "long", block_rows: int = _BLOCK_ROWS, task_pairs: int = _TASK_PAIRS,
 ) -> DataFrame:
     """Ordered pairs of different rows among which are all that lie within a radius of each other.
 
     Cells are one radius high, and as wide as the radius is at the table's highest latitude, so that the
     nine cells around a row hold all of its neighbours; they close up around the date line.
     Each row is sent to nine cells and meets the rows there by equality. A row without a position has no pair.
+
+    The rows of a cell and those sent to it are hashed into blocks of about ``block_rows``, every two blocks meet
+    apart, and there is a task for about ``task_pairs`` meetings: a crowded cell takes more tasks, not longer ones.
+    The cells are counted for that when this is called (one row per cell, written to the shared folder).
     """
-    angle = radius_metres * 1.001 / (EARTH_RADIUS_KM * 1000)  # a little more, as distances are rounded
+    # A little more, as distances are rounded.
+    angle = (radius_metres + 1) * 1.001 / (EARTH_RADIUS_KM * 1000)
     height = math.degrees(angle)
     placed = table.where(F.col(lat).isNotNull() & F.col(long).isNotNull())
     ratio = F.sin(F.lit(min(angle, math.pi / 2))) / F.cos(F.radians(F.max(F.abs(lat))))
-    width = placed.agg(F.when(ratio < 1, F.degrees(F.asin(ratio))).otherwise(360.0).alias("width")).scalar()
-    around = F.greatest(F.floor(F.lit(360.0) / width), F.lit(1).cast("bigint"))
-    first, second = (
-        placed.select(*[F.col(name).alias(f"{name}{suffix}") for name in table.columns])
-        .withColumns({
-            f"_row{suffix}": F.floor(F.col(f"{lat}{suffix}") / height),
-            "_around": around,
-        }).withColumn(f"_col{suffix}", F.floor(F.pmod(F.col(f"{long}{suffix}") + 180, F.lit(360.0)) * F.col("_around") / 360))
-        for suffix in suffixes)
-    one, other = suffixes
-    steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    cells = F.array_distinct(F.transform(steps, lambda step: F.pmod(F.col(f"_col{one}") + step, F.col("_around"))))
-    sent = first.withColumn("_to_row", F.explode(F.transform(steps, lambda step: F.col(f"_row{one}") + step)))
-    sent = sent.withColumn("_to_col", F.explode(cells)).drop("_around")
-    met = sent.join(second.drop("_around"), (F.col("_to_row") == F.col(f"_row{other}")) & (F.col("_to_col") == F.col(f"_col{other}")))
-    pairs = met.where(F.col(f"{id_name}{one}") != F.col(f"{id_name}{other}"))
-    return pairs.drop("_to_row", "_to_col", *[f"_{part}{suffix}" for part in ("row", "col") for suffix in suffixes])
+    width = placed.agg(F.when(ratio < 1, F.degrees(F.asin(ratio))).otherwise(360.0)).first()[0]
+    around = max(1, math.floor(360.0 / width))
+    row = F.floor(F.col(lat) / height)
+    col = F.floor(F.pmod(F.col(long) + 180, F.lit(360.0)) * around / 360)
+    celled = placed.withColumns({"_row": row, "_col": col})
+
+    def sent(rows: DataFrame) -> DataFrame:
+        steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
+        cells = F.array_distinct(F.transform(steps, lambda step: F.pmod(F.col("_col") + step, F.lit(around).cast("bigint"))))
+        far = rows.withColumn("_to_row", F.explode(F.transform(steps, lambda step: F.col("_row") + step)))
+        return far.withColumn("_to_col", F.explode(cells)).drop("_row", "_col")
+
+    counts = celled.groupBy("_row", "_col").agg(F.count(F.lit(1)).alias("_n"))
+    own = counts.select(F.col("_row").alias("_to_row"), F.col("_col").alias("_to_col"), F.col("_n").alias("_own"))
+    sizes = store(
+        sent(counts).groupBy("_to_row", "_to_col").agg(F.sum("_n").alias("_sent")).join(own, ["_to_row", "_to_col"]), "cells")
+    meetings = sizes.agg(F.sum(F.col("_own").cast("double") * F.col("_sent"))).first()[0] or 0
+    tasks = min(max(1, math.ceil(meetings / task_pairs)), _MOST_TASKS)
+    unit = ["_to_row", "_to_col", "_i", "_j"]
+
+    def dealt(rows: DataFrame, suffix: str, mine: str, my_count: str, other: str, other_count: str) -> DataFrame:
+        """Each row in its own block of its side, once for every block of the other side."""
+        blocks = sizes.select("_to_row", "_to_col", *[
+            F.ceil(F.col(name) / block_rows).cast("int").alias(name) for name in (my_count, other_count)])
+        named = rows.select("_to_row", "_to_col", *[F.col(name).alias(f"{name}{suffix}") for name in table.columns])
+        placed_rows = named.join(blocks, ["_to_row", "_to_col"]).withColumns({
+            mine: F.pmod(F.xxhash64(*[f"{name}{suffix}" for name in table.columns]), F.col(my_count)).cast("int"),
+            other: F.explode(F.sequence(F.lit(0), F.col(other_count) - 1))})
+        return placed_rows.drop(my_count, other_count).repartition(tasks, *unit)
+
+    one, two = suffixes
+    first = dealt(sent(celled), one, "_i", "_sent", "_j", "_own")
+    second = dealt(celled.withColumnsRenamed({"_row": "_to_row", "_col": "_to_col"}), two, "_j", "_own", "_i", "_sent")
+    near = F.abs(F.col(f"{lat}{one}") - F.col(f"{lat}{two}")) <= height
+    pairs = first.join(second.hint("merge"), unit).where((F.col(f"{id_name}{one}") != F.col(f"{id_name}{two}")) & near)
+    return pairs.drop(*unit)
