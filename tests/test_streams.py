@@ -236,3 +236,35 @@ def test_half_a_batch_is_not_shown(spark, folders, monkeypatch):
     monkeypatch.setattr(summaries, "write_batch", write)
     summarise(spark, folders)
     assert shown() == [{0, 1}] * 3
+
+
+def test_two_runs_read_one_set_of_messages(spark, tmp_path, monkeypatch):
+    from checks import streams
+
+    written, tasks = [], []
+    add = streams.write_message_files
+
+    def counted(messages, path):
+        written.append(messages.count())
+        tasks.append(messages.select(F.spark_partition_id()).distinct().count())
+        add(messages, path)
+
+    monkeypatch.setattr(streams, "write_message_files", counted)
+    monkeypatch.setattr(streams, "_FILE_ROWS", 50, raising=False)
+    per_row = "spark.sql.files.openCostInBytes"
+    old = spark.conf.get(per_row)
+    spark.conf.set(per_row, str(64 << 20))
+    try:
+        rows = spark.range(0, 1200, 1, 1).select("id", (F.col("id") % 3).alias("arrival"))
+        seen = {}
+
+        def start(messages, checkpoint):
+            def handle(batch, number):
+                seen.setdefault(checkpoint, []).append((number, batch.count()))
+            return run_batches(messages, handle, checkpoint)
+
+        streams._deliver(spark, rows, start, runs=2)
+    finally:
+        spark.conf.set(per_row, old)
+    assert written == [400, 400, 400] and min(tasks) > 1
+    assert list(seen.values()) == [[(0, 400), (1, 400), (2, 400)]] * 2
