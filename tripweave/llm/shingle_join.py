@@ -364,8 +364,11 @@ def _large_group_links(held: DataFrame, group_postings: int, n_pivots: int = 4)
 
     def met(group: pa.Table) -> pa.Table:
         keys, shingles, lengths = _loaded(group)
-        return _links_table(keys, [
+        found = _links_table(keys, [
             (i, j) for i, j in connect(shingles, lengths, np.array(group.column("_query").to_pylist(), bool)) if keys[i] != keys[j]])
+        if len(keys) > 1000:
+            release()
+        return found
 
     return to_pivots.unionByName(
         rest.unionByName(others).groupBy("_unit", "_i", "_j").applyInArrow(met, "a binary, b binary"))
